@@ -1,0 +1,8 @@
+"""Streaming.
+
+The reference has no streaming workload: every read is a batch read, and there
+is no watermark, time window or stateful call. Nothing is planned here beyond
+this note. The parsers in ``revue.functions`` are stateless column expressions,
+so ``revue.operators.clean.parse_reviews`` applies unchanged to a
+``spark.readStream`` frame of raw review records.
+"""
