@@ -297,3 +297,85 @@ def q_review_dates(spark, sf):
 def q_known_users(spark, sf):
     cands = raw(spark, sf).select("user_id").distinct()
     return S.known_users(clean(spark, sf), cands)
+
+
+# ---------------------------------------------------------------- features and similarity
+
+from revue.operators import features as FT  # noqa: E402
+from revue.operators import similarity as SIM  # noqa: E402
+
+CATALOG_CTE = ", catalog as (select product_id, min(title) as title, min(price) as price from clean group by 1)"
+
+SIM_CTES = CATALOG_CTE + """,
+ n as (select count(*) as nd from catalog), s as (select min(price) as lo, max(price) as hi from catalog),
+ c as (select product_id, title, (price - lo) / (hi - lo) as sp from catalog cross join s),
+ wt as (select product_id, w, count(*) as tf from (select product_id, unnest(string_split(title, ' ')) as w from c) q group by 1, 2),
+ dfq as (select w, count(*) as dfc from wt group by 1 having count(*) >= 2),
+ v as (select product_id, wt.w, tf * ln((nd + 1.0) / (dfc + 1.0)) as x from wt join dfq on wt.w = dfq.w cross join n),
+ nr as (select product_id, sum(x * x) as n2 from v group by 1),
+ dot as (select a.product_id as p1, b.product_id as p2, sum(a.x * b.x) as ab from v a join v b
+         on a.w = b.w and a.product_id < b.product_id group by 1, 2),
+ sim as (select p1, p2, abs(c1.sp - c2.sp) as dp,
+   round(1 - sqrt(greatest(0.0, x1.n2 + x2.n2 - 2 * ab + (c1.sp - c2.sp) * (c1.sp - c2.sp))), 6) as sim
+  from dot join nr x1 on p1 = x1.product_id join nr x2 on p2 = x2.product_id
+  join c c1 on p1 = c1.product_id join c c2 on p2 = c2.product_id)"""
+
+SIMITEMS_CTE = SIM_CTES + """,
+ rk as (select *, rank() over (partition by p1 order by sim desc) as rk from sim where sim > 0.1),
+ simitems as (select p1 as product1, p2 as product2, sim as similarity, rk from rk where rk <= 10)"""
+
+
+def catalog(spark, sf):
+    return C.catalog_lookup(clean(spark, sf))
+
+
+@query("clean_titles", O.with_clean(CATALOG_CTE + " select product_id, title, price, "
+                                    "regexp_replace(lower(coalesce(title, '')), '[^a-zA-Z0-9\\s]', '', 'g') as cleaned_title "
+                                    "from catalog where length(regexp_replace(lower(coalesce(title, '')), "
+                                    "'[^a-zA-Z0-9\\s]', '', 'g')) > 0"))
+def q_clean_titles(spark, sf):
+    return FT.clean_titles(catalog(spark, sf))
+
+
+@query("title_terms", O.with_clean(SIM_CTES + " select product_id, w as term, tf from wt"))
+def q_title_terms(spark, sf):
+    f = FT.TitleFeatures(catalog(spark, sf))
+    per_title = f.terms.select("cleaned_title", "term", "tf")
+    return (f.docs.select("product_id", "cleaned_title").join(per_title, "cleaned_title")
+            .select("product_id", "term", F.col("tf").cast("long").alias("tf")))
+
+
+@query("term_frequency", O.with_clean(
+    SIM_CTES + " select w as term, count(*) as doc_freq, sum(tf) as total_count from wt group by 1"))
+def q_term_frequency(spark, sf):
+    return FT.term_frequency(FT.TitleFeatures(catalog(spark, sf)).terms)
+
+
+@query("tfidf_weights", O.with_clean(SIM_CTES + " select product_id, w as term, round(x, 9) as weight from v"))
+def q_tfidf_weights(spark, sf):
+    f = FT.TitleFeatures(catalog(spark, sf))
+    return f.product_weights().select("product_id", "term", F.round("weight", 9).alias("weight"))
+
+
+@query("scaled_price", O.with_clean(SIM_CTES + " select product_id, round(sp, 9) as scaled_price from c"))
+def q_scaled_price(spark, sf):
+    d = FT.scaled_price(catalog(spark, sf))
+    return d.select("product_id", F.round("scaled_price", 9).alias("scaled_price"))
+
+
+@query("similar_items", O.with_clean(
+    SIMITEMS_CTE + " select product1, product2, similarity, cast(rk as int) as rank from simitems"))
+def q_similar_items(spark, sf):
+    return SIM.similar_items(catalog(spark, sf))
+
+
+@query("similar_items_top", O.with_clean(SIM_CTES + """,
+ rn as (select *, row_number() over (partition by p1 order by sim desc, dp, p2) as rn from sim where sim > 0.1)
+select p1 as product1, p2 as product2, sim as similarity, cast(rn as int) as rank from rn where rn <= 10"""))
+def q_similar_items_top(spark, sf):
+    return SIM.similar_items(catalog(spark, sf), ties="row_number")
+
+
+@query("lsh_similar_items")
+def q_lsh_similar_items(spark, sf):
+    return SIM.lsh_similar_items(catalog(spark, sf))
