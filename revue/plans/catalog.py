@@ -142,14 +142,14 @@ PR = "select product_id, title, count(rating) as review_count, round(avg(rating)
 
 
 @query("popular_products", O.with_clean(
-    f"select *, row_number() over (order by avg_rating desc, product_id, title) as rank from ({PR}) p "
+    f"select *, cast(row_number() over (order by avg_rating desc, product_id, title) as int) as rank from ({PR}) p "
     "where review_count >= 10 order by avg_rating desc, product_id, title limit 10"))
 def q_popular_products(spark, sf):
     return S.popular_products(clean(spark, sf))
 
 
 @query("top_products", O.with_clean(
-    f"select *, row_number() over (order by avg_rating desc, product_id, title) as rank from ({PR}) p "
+    f"select *, cast(row_number() over (order by avg_rating desc, product_id, title) as int) as rank from ({PR}) p "
     "order by avg_rating desc, product_id, title limit 10"))
 def q_top_products(spark, sf):
     return S.top_products(clean(spark, sf))
@@ -157,7 +157,7 @@ def q_top_products(spark, sf):
 
 @query("similar_by_rating", O.with_clean(f"""
 , pr as ({PR}),
- t as (select *, row_number() over (order by avg_rating desc, product_id, title) as pos from pr
+ t as (select *, cast(row_number() over (order by avg_rating desc, product_id, title) as int) as pos from pr
        order by avg_rating desc, product_id, title limit 11)
 select cast(null as varchar) as excluded_id, product_id, title, review_count, avg_rating, pos as rank
  from t where pos <= 10
@@ -191,7 +191,7 @@ def _latest_sql(key: str, cols: list[str]) -> str:
     order = ", ".join(["review_time desc"] + [f"{c} asc nulls last" for c in cols if c != "review_time"])
     sel = ", ".join(cols)
     return O.with_clean(
-        f"select {key}, {sel}, rn, {O.date_expr('review_time')} as date from ("
+        f"select {key}, {sel}, cast(rn as int) as rn, {O.date_expr('review_time')} as date from ("
         f"select {key}, {sel}, row_number() over (partition by {key} order by {order}) as rn from clean) q "
         f"where rn <= 1000")
 
@@ -379,3 +379,248 @@ def q_similar_items_top(spark, sf):
 @query("lsh_similar_items")
 def q_lsh_similar_items(spark, sf):
     return SIM.lsh_similar_items(catalog(spark, sf))
+
+
+# ---------------------------------------------------------------- recommendations
+
+from revue.operators import als as ALS  # noqa: E402
+from revue.operators import evaluate as EV  # noqa: E402
+from revue.operators import recommend as R  # noqa: E402
+
+CONTENT_CTES = SIMITEMS_CTE + """,
+ seen as (select distinct user_id, product_id from clean),
+ cand as (select l.user_id, s.product2 as product_id,
+   sum(cast(round(s.similarity * 1000000) as bigint) * cast(round((l.rating - 3) * 10) as bigint)) as sc
+  from clean l join simitems s on l.product_id = s.product1
+  where not exists (select 1 from seen k where k.user_id = l.user_id and k.product_id = s.product2) group by 1, 2),
+ cr as (select user_id, product_id, cast(sc as double) / 20000000.0 as total_score from cand),
+ crk as (select *, cast(row_number() over (partition by user_id order by total_score desc, product_id) as int) as rank from cr)"""
+
+
+def sims(spark, sf):
+    return SIM.similar_items(catalog(spark, sf))
+
+
+@query("content_recs", O.with_clean(
+    CONTENT_CTES + " select user_id, product_id, total_score, rank from crk where rank <= 10"))
+def q_content_recs(spark, sf):
+    return R.content_recommendations(clean(spark, sf), sims(spark, sf), 10)
+
+
+@query("unseen_candidates", O.with_clean(CONTENT_CTES + " select user_id, product_id, total_score from cr"))
+def q_unseen_candidates(spark, sf):
+    return R.content_candidates(clean(spark, sf), sims(spark, sf))
+
+
+@query("recs_with_catalog", O.with_clean(
+    CONTENT_CTES + " select crk.user_id, crk.product_id, catalog.title, catalog.price, crk.total_score, crk.rank "
+    "from crk join catalog on crk.product_id = catalog.product_id where rank <= 10"))
+def q_recs_with_catalog(spark, sf):
+    c = clean(spark, sf)
+    recs = R.content_recommendations(c, SIM.similar_items(C.catalog_lookup(c)), 10)
+    return R.attach_catalog(recs, C.catalog_lookup(c)).select(
+        "user_id", "product_id", "title", "price", "total_score", "rank")
+
+
+@query("join_small_dim", O.with_clean(
+    CONTENT_CTES + " select crk.user_id, crk.product_id, catalog.title, catalog.price, crk.total_score, crk.rank "
+    "from crk join catalog on crk.product_id = catalog.product_id where rank <= 10"))
+def q_join_small_dim(spark, sf):
+    c = clean(spark, sf)
+    recs = R.content_recommendations(c, SIM.similar_items(C.catalog_lookup(c)), 10)
+    return R.join_small_dim(recs, C.catalog_lookup(c), "product_id").select(
+        "user_id", "product_id", "title", "price", "total_score", "rank")
+
+
+@query("normalised_scores", O.with_clean(
+    CONTENT_CTES + ", top as (select * from crk where rank <= 20) "
+    "select user_id, product_id, total_score, rank, round(total_score / case when max(total_score) over "
+    "(partition by user_id) is null or max(total_score) over (partition by user_id) = 0 then 1.0 "
+    "else max(total_score) over (partition by user_id) end, 9) as content_score from top"))
+def q_normalised_scores(spark, sf):
+    recs = R.content_recommendations(clean(spark, sf), sims(spark, sf), 20)
+    out = R.normalise_by_user_max(recs, "total_score", "content_score")
+    return out.withColumn("content_score", F.round("content_score", 9))
+
+
+def latest_similars(reviews, simitems, m: int):
+    """Stand-in ranked leg: items similar to each user's most recently reviewed product."""
+    from revue.operators import topk
+    last = topk.per_key(reviews.select("user_id", "product_id", "review_time"), ["user_id"],
+                        [F.desc("review_time"), "product_id"], 1, rank_col="r")
+    j = last.join(simitems, last.product_id == simitems.product1).select(
+        "user_id", F.col("product2").alias("product_id"), F.col("similarity").alias("score"))
+    return topk.per_key(j, ["user_id"], [F.desc("score"), "product_id"], m, rank_col="rank")
+
+
+@query("blend_scores", O.with_clean(CONTENT_CTES + """,
+ last as (select user_id, product_id from (select user_id, product_id, row_number() over
+   (partition by user_id order by review_time desc, product_id) as r from clean) q where r = 1),
+ ls as (select last.user_id, s.product2 as product_id, s.similarity as score from last join simitems s on last.product_id = s.product1),
+ al as (select user_id, product_id from (select *, row_number() over (partition by user_id order by score desc, product_id) as r from ls) q where r <= 20),
+ cl as (select user_id, product_id, total_score / case when max(total_score) over (partition by user_id) is null
+   or max(total_score) over (partition by user_id) = 0 then 1.0 else max(total_score) over (partition by user_id) end as content_score
+   from crk where rank <= 20),
+ b as (select coalesce(al.user_id, cl.user_id) as user_id, coalesce(al.product_id, cl.product_id) as product_id,
+   case when al.user_id is null then 0.0 else 1.0 end as als_score, coalesce(cl.content_score, 0.0) as content_score
+   from al full outer join cl on al.user_id = cl.user_id and al.product_id = cl.product_id),
+ bs as (select *, round(als_score * 0.7 + content_score * 0.3, 9) as hybrid_score from b),
+ br as (select *, cast(row_number() over (partition by user_id order by hybrid_score desc, product_id) as int) as rank from bs)
+select user_id, product_id, als_score, round(content_score, 9) as content_score, hybrid_score, rank from br where rank <= 10"""))
+def q_blend_scores(spark, sf):
+    c = clean(spark, sf)
+    s = SIM.similar_items(C.catalog_lookup(c))
+    als_leg = latest_similars(c, s, 20)
+    content_leg = R.content_recommendations(c, s, 20)
+    out = R.blend_scores(als_leg, content_leg, 10)
+    return out.select("user_id", "product_id", "als_score", F.round("content_score", 9).alias("content_score"),
+                      "hybrid_score", "rank")
+
+
+# ---------------------------------------------------------------- index, split, evaluation
+
+
+def _index_sql(key: str, out: str) -> str:
+    return O.with_clean(
+        f"select {key}, cast(row_number() over (order by frequency desc, {key}) - 1 as int) as {out}, frequency "
+        f"from (select {key}, count(*) as frequency from clean group by 1) q")
+
+
+@query("string_index", _index_sql("product_id", "item_index"))
+def q_string_index(spark, sf):
+    return ALS.index_keys(clean(spark, sf), "product_id", "item_index")
+
+
+@query("index_lookup", O.with_clean(
+    "select i.user_index, i.user_id, n.user_name from (select user_id, cast(row_number() over "
+    "(order by frequency desc, user_id) - 1 as int) as user_index from (select user_id, count(*) as frequency "
+    "from clean group by 1) q) i left join (select distinct user_id, user_name from clean) n on i.user_id = n.user_id"))
+def q_index_lookup(spark, sf):
+    c = clean(spark, sf)
+    idx = ALS.index_keys(c, "user_id", "user_index")
+    names = c.select("user_id", "user_name").distinct()
+    return idx.join(names, "user_id", "left").select("user_index", "user_id", "user_name")
+
+
+SPLIT = "cast(concat('0x', substr(md5(concat(user_id, '#', product_id)), 1, 8)) as bigint) % 100 < 80"
+
+
+@query("hash_split", O.with_clean(
+    f"select case when {SPLIT} then 'train' else 'test' end as split, count(*) as rows from clean group by 1"))
+def q_hash_split(spark, sf):
+    train, test = EV.hash_split(clean(spark, sf))
+    return (train.agg(F.count(F.lit(1)).alias("rows")).withColumn("split", F.lit("train"))
+            .unionByName(test.agg(F.count(F.lit(1)).alias("rows")).withColumn("split", F.lit("test")))
+            .select("split", "rows"))
+
+
+MEAN_PRED = f"""
+, tr as (select * from clean where {SPLIT}), te as (select * from clean where not ({SPLIT})),
+ pm as (select product_id, avg(rating) as prediction from tr group by 1),
+ pr as (select te.rating, pm.prediction from te join pm on te.product_id = pm.product_id)"""
+
+
+@query("rating_errors", O.with_clean(MEAN_PRED + """
+select round(sqrt(avg((rating - prediction) * (rating - prediction))), 9) as rmse,
+ round(avg(abs(rating - prediction)), 9) as mae, count(*) as n from pr"""))
+def q_rating_errors(spark, sf):
+    train, test = EV.hash_split(clean(spark, sf))
+    m = EV.error_metrics(EV.product_mean_predictions(train, test))
+    return m.select(F.round("rmse", 9).alias("rmse"), F.round("mae", 9).alias("mae"), "n")
+
+
+@query("residual_histogram", O.with_clean(MEAN_PRED + """,
+ vv as (select round(rating - prediction, 9) as x from pr),
+ r as (select min(x) as lo, max(x) as hi, (max(x) - min(x)) / 50.0 as w from vv),
+ c as (select case when r.w = 0 then 0 else cast(least(floor((x - r.lo) / r.w), 49) as int) end as bin,
+       count(*) as cnt from vv cross join r group by 1)
+select cast(e.range as int) as bin, round(r.lo + e.range * r.w, 6) as lower, round(r.lo + (e.range + 1) * r.w, 6) as upper,
+  coalesce(c.cnt, 0) as count
+from range(0, 50) e cross join r left join c on c.bin = e.range order by 1"""))
+def q_residual_histogram(spark, sf):
+    train, test = EV.hash_split(clean(spark, sf))
+    res = EV.residuals(EV.product_mean_predictions(train, test))
+    return S.histogram(res.select(F.round("residual", 9).alias("residual")), "residual", 50)
+
+
+@query("sample_reviews")
+def q_sample_reviews(spark, sf):
+    return EV.sample_reviews(clean(spark, sf))
+
+
+# ---------------------------------------------------------------- ALS (rows-only checks)
+
+
+def _als_setup(spark, sf):
+    c = clean(spark, sf)
+    idx = ALS.Indexed(c)
+    train, test = EV.hash_split(idx.ratings)
+    model = ALS.fit(train.select("user_index", "item_index", "rating"), **ALS.BATCH)
+    return c, idx, train, test, model
+
+
+@query("als_predictions")
+def q_als_predictions(spark, sf):
+    _, _, _, test, model = _als_setup(spark, sf)
+    return ALS.predict(model, test).select("user_id", "product_id", "rating", "prediction")
+
+
+@query("als_metrics")
+def q_als_metrics(spark, sf):
+    _, _, _, test, model = _als_setup(spark, sf)
+    return EV.error_metrics(ALS.predict(model, test))
+
+
+@query("als_user_recs")
+def q_als_user_recs(spark, sf):
+    _, idx, _, _, model = _als_setup(spark, sf)
+    return ALS.recommend_users(model, idx, 10)
+
+
+@query("als_item_recs")
+def q_als_item_recs(spark, sf):
+    _, idx, _, _, model = _als_setup(spark, sf)
+    return ALS.recommend_items(model, idx, 10)
+
+
+@query("als_subset_recs")
+def q_als_subset_recs(spark, sf):
+    _, idx, _, _, model = _als_setup(spark, sf)
+    asked = raw(spark, sf).select("user_id").distinct()
+    return ALS.recommend_users(model, idx, 10, users=asked)
+
+
+@query("als_save_load")
+def q_als_save_load(spark, sf):
+    from revue.conf import scratch_path
+    _, idx, _, test, model = _als_setup(spark, sf)
+    back = ALS.load(ALS.save(model, scratch_path(spark, "als-model")))
+    return ALS.predict(back, test).select("user_id", "product_id", "rating", "prediction")
+
+
+@query("als_grid")
+def q_als_grid(spark, sf):
+    c = clean(spark, sf)
+    idx = ALS.Indexed(c)
+    train, valid = EV.hash_split(idx.ratings)
+    grid = {"rank": [10, 20], "regParam": [0.01, 0.1], "maxIter": [5]}
+    return ALS.grid_search(train.select("user_index", "item_index", "rating"), valid, grid)
+
+
+@query("hybrid_recs")
+def q_hybrid_recs(spark, sf):
+    c, idx, _, _, model = _als_setup(spark, sf)
+    lookup = C.catalog_lookup(c)
+    als_leg = ALS.recommend_users(model, idx, 20)
+    content_leg = R.content_recommendations(c, SIM.similar_items(lookup), 20)
+    out = R.blend_scores(als_leg, content_leg, 10)
+    return R.attach_catalog(out, lookup).select("user_id", "product_id", "title", "price", "als_score",
+                                                 "content_score", "hybrid_score", "rank")
+
+
+@query("recs_or_popular")
+def q_recs_or_popular(spark, sf):
+    c, idx, _, _, model = _als_setup(spark, sf)
+    everyone = raw(spark, sf).select("user_id").distinct()
+    personal = ALS.recommend_users(model, idx, 10, users=everyone)
+    return R.with_fallback(everyone, personal, S.popular_products(c), 10)
