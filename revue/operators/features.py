@@ -67,9 +67,19 @@ def scaled_price(docs: DataFrame) -> DataFrame:
 class TitleFeatures:
     """Relational TF-IDF features of a product catalog (one row per product)."""
 
-    def __init__(self, catalog: DataFrame, vocab_size: int = 1000, min_df: float = 2):
+    def __init__(self, catalog: DataFrame, vocab_size: int = 1000, min_df: float = 2,
+                 materialize: bool = False):
+        """``materialize`` checkpoints the per-product documents and the title
+        vectors (to the shared checkpoint folder): several later steps and
+        scalar subqueries read them, and the catalog lineage behind them (scan,
+        joins, cleaning) should run once, not once per reader."""
         spark = catalog.sparkSession
-        self.docs = scaled_price(clean_titles(catalog))
+        base = clean_titles(catalog).select("product_id", "cleaned_title", "price")
+        if materialize:
+            from revue.conf import scratch_root
+            scratch_root(spark)
+            base = base.checkpoint(eager=True)
+        self.docs = scaled_price(base)
         self.terms = title_terms(self.docs, english_stop_words(spark))
         self.n_docs = self.docs.agg(F.count(F.lit(1)).cast("double")).scalar()
         self.vocab = vocabulary(self.terms, self.n_docs, vocab_size, min_df)
@@ -77,6 +87,8 @@ class TitleFeatures:
         self.vectors = (self.terms.join(F.broadcast(self.vocab.select("term", "idf")), "term")
                         .select("cleaned_title", "term", "tf", "idf",
                                 (F.col("tf") * F.col("idf")).alias("weight")))
+        if materialize:
+            self.vectors = self.vectors.checkpoint(eager=True)
 
     def product_weights(self) -> DataFrame:
         """(product_id, term, weight): the TF-IDF matrix in coordinate form."""

@@ -315,7 +315,7 @@ SIM_CTES = CATALOG_CTE + """,
  nr as (select product_id, sum(x * x) as n2 from v group by 1),
  dot as (select a.product_id as p1, b.product_id as p2, sum(a.x * b.x) as ab from v a join v b
          on a.w = b.w and a.product_id < b.product_id group by 1, 2),
- sim as (select p1, p2, abs(c1.sp - c2.sp) as dp,
+ sim as (select p1, p2, abs(c1.sp - c2.sp) as dp, c2.sp < c1.sp or (c2.sp = c1.sp and p2 < p1) as lft,
    round(1 - sqrt(greatest(0.0, x1.n2 + x2.n2 - 2 * ab + (c1.sp - c2.sp) * (c1.sp - c2.sp))), 6) as sim
   from dot join nr x1 on p1 = x1.product_id join nr x2 on p2 = x2.product_id
   join c c1 on p1 = c1.product_id join c c2 on p2 = c2.product_id)"""
@@ -370,7 +370,7 @@ def q_similar_items(spark, sf):
 
 
 @query("similar_items_top", O.with_clean(SIM_CTES + """,
- rn as (select *, row_number() over (partition by p1 order by sim desc, dp, p2) as rn from sim where sim > 0.1)
+ rn as (select *, row_number() over (partition by p1 order by sim desc, dp, lft, case when not lft then p2 end asc nulls last, case when lft then p2 end desc nulls last) as rn from sim where sim > 0.1)
 select p1 as product1, p2 as product2, sim as similarity, cast(rn as int) as rank from rn where rn <= 10"""))
 def q_similar_items_top(spark, sf):
     return SIM.similar_items(catalog(spark, sf), ties="row_number")
