@@ -40,14 +40,22 @@ def valid_ratings(df: DataFrame) -> DataFrame:
 
 
 def clean_reviews(parsed: DataFrame, min_user_reviews: int = 5, min_product_reviews: int = 10,
-                  fill_price: bool = True) -> DataFrame:
+                  fill_price: bool = True, materialize: bool = True) -> DataFrame:
     """Null drop, median price fill, activity filter (counts taken once, after the null drop).
 
-    The median enters as a scalar subquery (no driver round trip). The activity
-    filter is two left-semi joins against grouped key sets: map-side partial
-    counts, and AQE may broadcast the key sets or split skewed fact partitions.
+    The null-dropped table feeds four readers (median, user counts, product
+    counts, the filtered output); with ``materialize`` it is written once to the
+    shared checkpoint folder instead of re-running the scan and joins behind it
+    for each reader. The median enters as a scalar subquery (no driver round
+    trip). The activity filter is two left-semi joins against grouped key sets:
+    map-side partial counts, and AQE may broadcast the key sets or split skewed
+    fact partitions.
     """
     d = parsed.dropna(subset=["user_id", "product_id", "rating"])
+    if materialize:
+        from revue.conf import scratch_root
+        scratch_root(d.sparkSession)
+        d = d.checkpoint(eager=True)
     if fill_price:
         med = median_price(d).scalar()
         d = d.withColumn("price", F.coalesce(F.col("price"), med))
