@@ -624,3 +624,14 @@ def q_recs_or_popular(spark, sf):
     everyone = raw(spark, sf).select("user_id").distinct()
     personal = ALS.recommend_users(model, idx, 10, users=everyone)
     return R.with_fallback(everyone, personal, S.popular_products(c), 10)
+
+
+@query("random_split")
+def q_random_split(spark, sf):
+    parts = EV.random_split(clean(spark, sf), [0.6, 0.2, 0.2], 42)
+    names = ["train", "validation", "test"]
+    out = None
+    for n, p in zip(names, parts):
+        one = p.agg(F.count(F.lit(1)).alias("rows")).withColumn("split", F.lit(n))
+        out = one if out is None else out.unionByName(one)
+    return out.select("split", "rows")
