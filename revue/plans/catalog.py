@@ -41,8 +41,14 @@ def parsed(spark: SparkSession, sf: str) -> DataFrame:
     return C.parse_reviews(raw(spark, sf))
 
 
+FACT_TABLES = ["lineitem", "orders", "part", "customer"]
+
+
 def clean(spark: SparkSession, sf: str, min_user: int = 5, min_product: int = 10) -> DataFrame:
-    return C.clean_reviews(parsed(spark, sf), min_user, min_product)
+    """Cleaned reviews: a stage table, built once per session and input."""
+    from revue.plans.stages import shared
+    return shared(spark, sf, FACT_TABLES, "clean", (min_user, min_product),
+                  lambda: C.clean_reviews(parsed(spark, sf), min_user, min_product))
 
 
 RAW_COLS = ", ".join(fixtures.RAW_COLUMNS)
@@ -366,14 +372,14 @@ def q_scaled_price(spark, sf):
 @query("similar_items", O.with_clean(
     SIMITEMS_CTE + " select product1, product2, similarity, cast(rk as int) as rank from simitems"))
 def q_similar_items(spark, sf):
-    return SIM.similar_items(catalog(spark, sf))
+    return sims(spark, sf)
 
 
 @query("similar_items_top", O.with_clean(SIM_CTES + """,
  rn as (select *, row_number() over (partition by p1 order by sim desc, dp, lft, case when not lft then p2 end asc nulls last, case when lft then p2 end desc nulls last) as rn from sim where sim > 0.1)
 select p1 as product1, p2 as product2, sim as similarity, cast(rn as int) as rank from rn where rn <= 10"""))
 def q_similar_items_top(spark, sf):
-    return SIM.similar_items(catalog(spark, sf), ties="row_number")
+    return sims(spark, sf, "row_number")
 
 
 @query("lsh_similar_items")
@@ -397,8 +403,11 @@ CONTENT_CTES = SIMITEMS_CTE + """,
  crk as (select *, cast(row_number() over (partition by user_id order by total_score desc, product_id) as int) as rank from cr)"""
 
 
-def sims(spark, sf):
-    return SIM.similar_items(catalog(spark, sf))
+def sims(spark, sf, ties: str = "rank"):
+    """The similar-item table (reference parameters): a stage table."""
+    from revue.plans.stages import shared
+    return shared(spark, sf, FACT_TABLES, "simitems", (ties,),
+                  lambda: SIM.similar_items(catalog(spark, sf), ties=ties))
 
 
 @query("content_recs", O.with_clean(
@@ -417,7 +426,7 @@ def q_unseen_candidates(spark, sf):
     "from crk join catalog on crk.product_id = catalog.product_id where rank <= 10"))
 def q_recs_with_catalog(spark, sf):
     c = clean(spark, sf)
-    recs = R.content_recommendations(c, SIM.similar_items(C.catalog_lookup(c)), 10)
+    recs = R.content_recommendations(c, sims(spark, sf), 10)
     return R.attach_catalog(recs, C.catalog_lookup(c)).select(
         "user_id", "product_id", "title", "price", "total_score", "rank")
 
@@ -427,7 +436,7 @@ def q_recs_with_catalog(spark, sf):
     "from crk join catalog on crk.product_id = catalog.product_id where rank <= 10"))
 def q_join_small_dim(spark, sf):
     c = clean(spark, sf)
-    recs = R.content_recommendations(c, SIM.similar_items(C.catalog_lookup(c)), 10)
+    recs = R.content_recommendations(c, sims(spark, sf), 10)
     return R.join_small_dim(recs, C.catalog_lookup(c), "product_id").select(
         "user_id", "product_id", "title", "price", "total_score", "rank")
 
@@ -469,7 +478,7 @@ def latest_similars(reviews, simitems, m: int):
 select user_id, product_id, als_score, round(content_score, 9) as content_score, hybrid_score, rank from br where rank <= 10"""))
 def q_blend_scores(spark, sf):
     c = clean(spark, sf)
-    s = SIM.similar_items(C.catalog_lookup(c))
+    s = sims(spark, sf)
     als_leg = latest_similars(c, s, 20)
     content_leg = R.content_recommendations(c, s, 20)
     out = R.blend_scores(als_leg, content_leg, 10)
@@ -552,11 +561,19 @@ def q_sample_reviews(spark, sf):
 
 
 def _als_setup(spark, sf):
-    c = clean(spark, sf)
-    idx = ALS.Indexed(c)
-    train, test = EV.hash_split(idx.ratings)
-    model = ALS.fit(train.select("user_index", "item_index", "rating"), **ALS.BATCH)
-    return c, idx, train, test, model
+    """Indexed ratings, md5 split and the batch ALS fit: a stage shared by the ALS queries."""
+    from revue.plans.stages import materialize, shared
+
+    def build():
+        c = clean(spark, sf)
+        idx = ALS.Indexed(c)
+        idx.users = materialize(idx.users, "user-index")
+        idx.items = materialize(idx.items, "item-index")
+        idx.ratings = materialize(idx.ratings, "indexed-ratings")
+        train, test = EV.hash_split(idx.ratings)
+        model = ALS.fit(train.select("user_index", "item_index", "rating"), **ALS.BATCH)
+        return c, idx, train, test, model
+    return shared(spark, sf, FACT_TABLES, "als", tuple(sorted(ALS.BATCH.items())), build, table=False)
 
 
 @query("als_predictions")
@@ -612,7 +629,7 @@ def q_hybrid_recs(spark, sf):
     c, idx, _, _, model = _als_setup(spark, sf)
     lookup = C.catalog_lookup(c)
     als_leg = ALS.recommend_users(model, idx, 20)
-    content_leg = R.content_recommendations(c, SIM.similar_items(lookup), 20)
+    content_leg = R.content_recommendations(c, sims(spark, sf), 20)
     out = R.blend_scores(als_leg, content_leg, 10)
     return R.attach_catalog(out, lookup).select("user_id", "product_id", "title", "price", "als_score",
                                                  "content_score", "hybrid_score", "rank")
