@@ -410,10 +410,21 @@ def sims(spark, sf, ties: str = "rank"):
                   lambda: SIM.similar_items(catalog(spark, sf), ties=ties))
 
 
+def content_top(spark, sf, n: int = 20):
+    """Top-n content recommendations per user (n = 2 x 10, what the hybrid pulls): a stage table."""
+    from revue.plans.stages import shared
+    return shared(spark, sf, FACT_TABLES, "content-top", (n,),
+                  lambda: R.content_recommendations(clean(spark, sf), sims(spark, sf), n))
+
+
+def content_recs(spark, sf, n: int = 10):
+    return content_top(spark, sf).where(F.col("rank") <= n)
+
+
 @query("content_recs", O.with_clean(
     CONTENT_CTES + " select user_id, product_id, total_score, rank from crk where rank <= 10"))
 def q_content_recs(spark, sf):
-    return R.content_recommendations(clean(spark, sf), sims(spark, sf), 10)
+    return content_recs(spark, sf, 10)
 
 
 @query("unseen_candidates", O.with_clean(CONTENT_CTES + " select user_id, product_id, total_score from cr"))
@@ -426,7 +437,7 @@ def q_unseen_candidates(spark, sf):
     "from crk join catalog on crk.product_id = catalog.product_id where rank <= 10"))
 def q_recs_with_catalog(spark, sf):
     c = clean(spark, sf)
-    recs = R.content_recommendations(c, sims(spark, sf), 10)
+    recs = content_recs(spark, sf, 10)
     return R.attach_catalog(recs, C.catalog_lookup(c)).select(
         "user_id", "product_id", "title", "price", "total_score", "rank")
 
@@ -436,7 +447,7 @@ def q_recs_with_catalog(spark, sf):
     "from crk join catalog on crk.product_id = catalog.product_id where rank <= 10"))
 def q_join_small_dim(spark, sf):
     c = clean(spark, sf)
-    recs = R.content_recommendations(c, sims(spark, sf), 10)
+    recs = content_recs(spark, sf, 10)
     return R.join_small_dim(recs, C.catalog_lookup(c), "product_id").select(
         "user_id", "product_id", "title", "price", "total_score", "rank")
 
@@ -447,7 +458,7 @@ def q_join_small_dim(spark, sf):
     "(partition by user_id) is null or max(total_score) over (partition by user_id) = 0 then 1.0 "
     "else max(total_score) over (partition by user_id) end, 9) as content_score from top"))
 def q_normalised_scores(spark, sf):
-    recs = R.content_recommendations(clean(spark, sf), sims(spark, sf), 20)
+    recs = content_top(spark, sf, 20)
     out = R.normalise_by_user_max(recs, "total_score", "content_score")
     return out.withColumn("content_score", F.round("content_score", 9))
 
@@ -480,7 +491,7 @@ def q_blend_scores(spark, sf):
     c = clean(spark, sf)
     s = sims(spark, sf)
     als_leg = latest_similars(c, s, 20)
-    content_leg = R.content_recommendations(c, s, 20)
+    content_leg = content_top(spark, sf, 20)
     out = R.blend_scores(als_leg, content_leg, 10)
     return out.select("user_id", "product_id", "als_score", F.round("content_score", 9).alias("content_score"),
                       "hybrid_score", "rank")
@@ -629,7 +640,7 @@ def q_hybrid_recs(spark, sf):
     c, idx, _, _, model = _als_setup(spark, sf)
     lookup = C.catalog_lookup(c)
     als_leg = ALS.recommend_users(model, idx, 20)
-    content_leg = R.content_recommendations(c, sims(spark, sf), 20)
+    content_leg = content_top(spark, sf, 20)
     out = R.blend_scores(als_leg, content_leg, 10)
     return R.attach_catalog(out, lookup).select("user_id", "product_id", "title", "price", "als_score",
                                                  "content_score", "hybrid_score", "rank")
