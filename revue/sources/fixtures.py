@@ -39,10 +39,11 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     pt = table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_retailprice")
     cu = table(spark, sf_dir, "customer").select("c_custkey", "c_name")
 
-    # lineitem x orders is a large-large join at any real scale: say so (shuffled hash
-    # join, orders as build side) instead of letting a small sample broadcast it,
-    # which would also pin the whole parse / clean pipeline to the scan's tasks.
-    j = (li.join(od.hint("shuffle_hash"), li.l_orderkey == od.o_orderkey)
+    # lineitem x orders is a large-large join at any real scale: say so (sort-merge,
+    # which spills, rather than an in-memory hash build) instead of letting a small
+    # sample broadcast it, which would also pin the parse / clean pipeline to the
+    # scan's tasks.
+    j = (li.join(od.hint("merge"), li.l_orderkey == od.o_orderkey)
            .join(pt, li.l_partkey == pt.p_partkey)
            .join(cu, od.o_custkey == cu.c_custkey))
 
