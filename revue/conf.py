@@ -13,11 +13,17 @@ def scratch_root(spark: SparkSession) -> str:
     """Shared folder for checkpoints and written intermediates.
 
     On a cluster this is ``spark.checkpoint.dir`` (a shared file system path).
-    Only when it is unset (local tests) do we pick a folder of our own.
+    Only when it is unset do we pick a folder of our own: a temporary folder for a
+    local master (tests), the warehouse location otherwise.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        root = tempfile.mkdtemp(prefix="revue-ckpt-")
+        if spark.sparkContext.master.startswith("local"):
+            root = tempfile.mkdtemp(prefix="revue-ckpt-")
+        else:
+            # Never a machine-local folder on a cluster: fall back to the warehouse
+            # location, which a cluster keeps on shared storage.
+            root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_revue_checkpoints"
         spark.conf.set("spark.checkpoint.dir", root)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
