@@ -56,3 +56,14 @@ def local_session(cpus: int | None = None, shuffle_partitions: int = 8,
     spark.sparkContext.setLogLevel("ERROR")
     scratch_root(spark)
     return spark
+
+
+def materialize(df, name: str):
+    """Write ``df`` as Parquet below the shared scratch root and scan it back.
+
+    Cuts the lineage like ``checkpoint()``, and later readers get column pruning
+    and pushed filters on the written table.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)

@@ -15,7 +15,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from revue.conf import scratch_path
+from revue.conf import materialize
 
 _MEMO: dict = {}
 
@@ -39,13 +39,6 @@ def fingerprint(spark: SparkSession, sf_dir: str, tables: list[str]) -> tuple:
     return tuple(out)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared scratch folder and scan it back."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def shared(spark: SparkSession, sf_dir: str, tables: list[str], name: str, params: tuple,
            build: Callable[[], object], table: bool = True):
     """Memoised stage: ``build()`` runs once per session, inputs and parameters."""
