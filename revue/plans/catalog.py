@@ -663,3 +663,17 @@ def q_random_split(spark, sf):
         one = p.agg(F.count(F.lit(1)).alias("rows")).withColumn("split", F.lit(n))
         out = one if out is None else out.unionByName(one)
     return out.select("split", "rows")
+
+
+@query("dashboard_recs")
+def q_dashboard_recs(spark, sf):
+    """The dashboard's ALS flow: valid ratings, 50% sample above 100,000 rows, dashboard
+    setting, 10 recommendations per user mapped back to id and title, score to 2 places."""
+    c = C.valid_ratings(clean(spark, sf))
+    sample = EV.sample_reviews(c.select("user_id", "product_id", "rating"))
+    idx = ALS.Indexed(sample)
+    model = ALS.fit(idx.ratings.select("user_index", "item_index", "rating"), **ALS.DASHBOARD)
+    recs = ALS.recommend_users(model, idx, 10)
+    titles = C.catalog_lookup(c).select("product_id", "title")
+    return (recs.join(titles, "product_id", "left")
+                .select("user_id", "product_id", "title", F.round("score", 2).alias("score"), "rank"))
