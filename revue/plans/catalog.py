@@ -161,8 +161,7 @@ def q_top_products(spark, sf):
     return S.top_products(clean(spark, sf))
 
 
-@query("similar_by_rating", O.with_clean(f"""
-, pr as ({PR}),
+@query("similar_by_rating", O.with_clean(f""", pr as ({PR}),
  t as (select *, cast(row_number() over (order by avg_rating desc, product_id, title) as int) as pos from pr
        order by avg_rating desc, product_id, title limit 11)
 select cast(null as varchar) as excluded_id, product_id, title, review_count, avg_rating, pos as rank
@@ -171,7 +170,7 @@ union all
 select e.product_id as excluded_id, t.product_id, t.title, t.review_count, t.avg_rating,
   t.pos - case when t.pos > e.pos then 1 else 0 end as rank
  from t e join t on e.product_id <> t.product_id
- where e.pos <= 10 and t.pos - case when t.pos > e.pos then 1 else 0 end <= 10""".replace("\n, pr", ", pr", 1)))
+ where e.pos <= 10 and t.pos - case when t.pos > e.pos then 1 else 0 end <= 10"""))
 def q_similar_by_rating(spark, sf):
     return S.similar_by_rating(clean(spark, sf))
 
@@ -227,15 +226,14 @@ def q_rating_distribution(spark, sf):
 
 
 def _hist_sql(expr: str, bins: int) -> str:
-    return O.with_parsed(f"""
-, v as (select cast({expr} as double) as x from raw),
+    return O.with_parsed(f""", v as (select cast({expr} as double) as x from raw),
  vv as (select x from v where x is not null and not isnan(x)),
  r as (select min(x) as lo, max(x) as hi, (max(x) - min(x)) / {bins}.0 as w from vv),
  c as (select case when r.w = 0 then 0 else cast(least(floor((x - r.lo) / r.w), {bins - 1}) as int) end as bin,
        count(*) as cnt from vv cross join r group by 1)
 select cast(e.range as int) as bin, round(r.lo + e.range * r.w, 6) as lower, round(r.lo + (e.range + 1) * r.w, 6) as upper,
   coalesce(c.cnt, 0) as count
-from range(0, {bins}) e cross join r left join c on c.bin = e.range order by 1""".replace("\n, v", ", v", 1))
+from range(0, {bins}) e cross join r left join c on c.bin = e.range order by 1""")
 
 
 @query("histogram_price", _hist_sql("try_cast(raw_price as double)", 50))
