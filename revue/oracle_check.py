@@ -18,6 +18,10 @@ def duck(sf_dir: str):
     return con
 
 
+SPARK_TO_DUCK = {"int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR",
+                 "float": "FLOAT", "boolean": "BOOLEAN", "smallint": "SMALLINT", "date": "DATE"}
+
+
 def _norm(v):
     if v is None:
         return None
@@ -42,13 +46,22 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
     from revue.plans.catalog import ORACLE, QUERIES
     con = con or duck(sf_dir)
     t0 = time.time()
-    sdf = QUERIES[name](spark, sf_dir).toPandas()
+    sq = QUERIES[name](spark, sf_dir)
+    spark_df_types = sq.dtypes
+    sdf = sq.toPandas()
     t1 = time.time()
     res = {"query": name, "spark_rows": len(sdf), "spark_sec": round(t1 - t0, 2)}
     if name not in ORACLE:
         res["oracle"] = "none"
         return res
     ddf = con.execute(ORACLE[name]).df()
+    dtypes = {r[0]: r[1] for r in con.execute(f"describe {ORACLE[name]}").fetchall()}
+    stypes = dict(spark_df_types)
+    bad = {c: (stypes.get(c), dtypes.get(c)) for c in set(stypes) | set(dtypes)
+           if SPARK_TO_DUCK.get(stypes.get(c), stypes.get(c)) != dtypes.get(c)}
+    res["types_match"] = not bad
+    if bad:
+        res["type_diff"] = bad
     res["oracle_rows"] = len(ddf)
     sc, sr = rows_of(sdf.astype(object).where(sdf.notna(), None))
     dc, dr = rows_of(ddf.astype(object).where(ddf.notna(), None))
@@ -76,7 +89,8 @@ def main(argv: list[str]) -> None:
             r = compare(spark, n, sf, con)
         except Exception as e:  # report and go on
             r = {"query": n, "error": repr(e)[:400]}
-        ok = r.get("values_match", r.get("oracle") == "none") and "error" not in r
+        ok = (r.get("values_match", r.get("oracle") == "none") and r.get("types_match", True)
+              and "error" not in r)
         bad += not ok
         print(("OK  " if ok else "BAD ") + str(r), flush=True)
     print("failures:", bad)

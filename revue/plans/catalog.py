@@ -350,7 +350,7 @@ def q_title_terms(spark, sf):
 
 
 @query("term_frequency", O.with_clean(
-    SIM_CTES + " select w as term, count(*) as doc_freq, sum(tf) as total_count from wt group by 1"))
+    SIM_CTES + " select w as term, count(*) as doc_freq, cast(sum(tf) as bigint) as total_count from wt group by 1"))
 def q_term_frequency(spark, sf):
     return FT.term_frequency(FT.TitleFeatures(catalog(spark, sf)).terms)
 
@@ -480,7 +480,8 @@ def latest_similars(reviews, simitems, m: int):
    or max(total_score) over (partition by user_id) = 0 then 1.0 else max(total_score) over (partition by user_id) end as content_score
    from crk where rank <= 20),
  b as (select coalesce(al.user_id, cl.user_id) as user_id, coalesce(al.product_id, cl.product_id) as product_id,
-   case when al.user_id is null then 0.0 else 1.0 end as als_score, coalesce(cl.content_score, 0.0) as content_score
+   cast(case when al.user_id is null then 0.0 else 1.0 end as double) as als_score,
+   coalesce(cl.content_score, 0.0) as content_score
    from al full outer join cl on al.user_id = cl.user_id and al.product_id = cl.product_id),
  bs as (select *, round(als_score * 0.7 + content_score * 0.3, 9) as hybrid_score from b),
  br as (select *, cast(row_number() over (partition by user_id order by hybrid_score desc, product_id) as int) as rank from bs)

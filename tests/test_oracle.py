@@ -20,6 +20,7 @@ def test_matches_oracle(spark, con, name):
     assert r["columns_match"], r
     assert r["spark_rows"] == r["oracle_rows"], r
     assert r["values_match"], r
+    assert r["types_match"], r
 
 
 @pytest.mark.parametrize("name", FAST_ROWS_ONLY)
