@@ -101,15 +101,9 @@ def load(path: str):
     return ALSModel.load(path)
 
 
-def grid_search(train: DataFrame, valid: DataFrame, grid: dict | None = None, seed: int = 42) -> DataFrame:
-    """One row per setting (rank, reg_param, max_iter, rmse, n_valid); failing fits are skipped.
-
-    Each fit is a distributed job; the loop runs over the (small) parameter grid.
-    """
+def _search(train: DataFrame, valid: DataFrame, grid: dict, seed: int):
     from revue.operators.evaluate import error_metrics
-    spark = train.sparkSession
-    grid = grid or FULL_GRID
-    rows = []
+    rows, best = [], (float("inf"), None, None)
     for r in grid["rank"]:
         for reg in grid["regParam"]:
             for it in grid["maxIter"]:
@@ -121,4 +115,35 @@ def grid_search(train: DataFrame, valid: DataFrame, grid: dict | None = None, se
                 if met is None or met["n"] == 0:
                     continue
                 rows.append((r, float(reg), it, float(met["rmse"]), int(met["n"])))
-    return spark.createDataFrame(rows, "rank int, reg_param double, max_iter int, rmse double, n_valid long")
+                if met["rmse"] < best[0]:
+                    best = (float(met["rmse"]), m, (r, float(reg), it))
+    return rows, best
+
+
+def grid_search(train: DataFrame, valid: DataFrame, grid: dict | None = None, seed: int = 42) -> DataFrame:
+    """One row per setting (rank, reg_param, max_iter, rmse, n_valid); failing fits are skipped.
+
+    Each fit is a distributed job; the loop runs over the (small) parameter grid.
+    """
+    rows, _ = _search(train, valid, grid or FULL_GRID, seed)
+    return train.sparkSession.createDataFrame(
+        rows, "rank int, reg_param double, max_iter int, rmse double, n_valid long")
+
+
+def tune(train: DataFrame, valid: DataFrame, test: DataFrame, grid: dict | None = None, seed: int = 42,
+         save_path: str | None = None) -> DataFrame:
+    """Grid search on (train, valid), then the best setting's RMSE / MAE on test; saves the best model.
+
+    One row: rank, reg_param, max_iter, valid_rmse, test_rmse, test_mae, n_test.
+    """
+    from revue.operators.evaluate import error_metrics
+    _, (vr, model, params) = _search(train, valid, grid or FULL_GRID, seed)
+    schema = ("rank int, reg_param double, max_iter int, valid_rmse double, test_rmse double, "
+              "test_mae double, n_test long")
+    if model is None:
+        return train.sparkSession.createDataFrame([], schema)
+    if save_path:
+        save(model, save_path)
+    t = error_metrics(predict(model, test)).first()
+    return train.sparkSession.createDataFrame(
+        [(params[0], params[1], params[2], vr, float(t["rmse"]), float(t["mae"]), int(t["n"]))], schema)

@@ -676,3 +676,15 @@ def q_dashboard_recs(spark, sf):
     titles = C.catalog_lookup(c).select("product_id", "title")
     return (recs.join(titles, "product_id", "left")
                 .select("user_id", "product_id", "title", F.round("score", 2).alias("score"), "rank"))
+
+
+@query("als_tuning")
+def q_als_tuning(spark, sf):
+    """The tuning script: 60/20/20 split (seed 42), grid on validation, best model on test, saved."""
+    from revue.conf import scratch_path
+    c = clean(spark, sf)
+    idx = ALS.Indexed(c)
+    train, valid, test = EV.random_split(idx.ratings.select("user_index", "item_index", "rating"),
+                                         [0.6, 0.2, 0.2], 42)
+    grid = {"rank": [10, 20], "regParam": [0.01, 0.1], "maxIter": [5]}
+    return ALS.tune(train, valid, test, grid, save_path=scratch_path(spark, "best-als"))
