@@ -630,8 +630,7 @@ def q_als_grid(spark, sf):
     c = clean(spark, sf)
     idx = ALS.Indexed(c)
     train, valid = EV.hash_split(idx.ratings)
-    grid = {"rank": [10, 20], "regParam": [0.01, 0.1], "maxIter": [5]}
-    return ALS.grid_search(train.select("user_index", "item_index", "rating"), valid, grid)
+    return ALS.grid_search(train.select("user_index", "item_index", "rating"), valid, ALS.FULL_GRID)
 
 
 @query("hybrid_recs")
@@ -686,5 +685,4 @@ def q_als_tuning(spark, sf):
     idx = ALS.Indexed(c)
     train, valid, test = EV.random_split(idx.ratings.select("user_index", "item_index", "rating"),
                                          [0.6, 0.2, 0.2], 42)
-    grid = {"rank": [10, 20], "regParam": [0.01, 0.1], "maxIter": [5]}
-    return ALS.tune(train, valid, test, grid, save_path=scratch_path(spark, "best-als"))
+    return ALS.tune(train, valid, test, ALS.FULL_GRID, save_path=scratch_path(spark, "best-als"))
