@@ -38,7 +38,7 @@ def rows_of(pdf):
     cols = sorted(pdf.columns)
     out = []
     for rec in pdf[cols].itertuples(index=False, name=None):
-        out.append(tuple(_norm(None if (isinstance(x, float) and math.isnan(x) and False) else x) for x in rec))
+        out.append(tuple(_norm(x) for x in rec))
     return cols, sorted(out, key=lambda r: tuple((x is None, str(type(x)), x if x is not None else 0) for x in r))
 
 
