@@ -44,8 +44,8 @@ def clean_reviews(parsed: DataFrame, min_user_reviews: int = 5, min_product_revi
     """Null drop, median price fill, activity filter (counts taken once, after the null drop).
 
     The null-dropped table feeds four readers (median, user counts, product
-    counts, the filtered output); with ``materialize`` it is written once to the
-    shared checkpoint folder instead of re-running the scan and joins behind it
+    counts, the filtered output); with ``materialize`` it is written once (Parquet,
+    shared scratch folder) instead of re-running the scan and joins behind it
     for each reader. The median enters as a scalar subquery (no driver round
     trip). The activity filter is two left-semi joins against grouped key sets:
     map-side partial counts, and AQE may broadcast the key sets or split skewed
@@ -53,9 +53,10 @@ def clean_reviews(parsed: DataFrame, min_user_reviews: int = 5, min_product_revi
     """
     d = parsed.dropna(subset=["user_id", "product_id", "rating"])
     if materialize:
-        from revue.conf import scratch_root
-        scratch_root(d.sparkSession)
-        d = d.checkpoint(eager=True)
+        # Parquet rather than checkpoint(): at scale this is the whole fact table, and
+        # three of its four readers need only key / price columns (column pruning).
+        from revue.conf import materialize as write_back
+        d = write_back(d, "clean-input")
     if fill_price:
         med = median_price(d).scalar()
         d = d.withColumn("price", F.coalesce(F.col("price"), med))
