@@ -402,10 +402,12 @@ CONTENT_CTES = SIMITEMS_CTE + """,
 
 
 def sims(spark, sf, ties: str = "rank"):
-    """The similar-item table (reference parameters): a stage table."""
+    """The similar-item table (reference parameters): a stage table. Both tie modes
+    share one similarity index (features, classes, positions) per session."""
     from revue.plans.stages import shared
-    return shared(spark, sf, FACT_TABLES, "simitems", (ties,),
-                  lambda: SIM.similar_items(catalog(spark, sf), ties=ties))
+    index = shared(spark, sf, FACT_TABLES, "simindex", (0.1,),
+                   lambda: SIM.SimilarityIndex(catalog(spark, sf)), table=False)
+    return shared(spark, sf, FACT_TABLES, "simitems", (ties,), lambda: index.top_k(ties=ties))
 
 
 def content_top(spark, sf, n: int = 20):
