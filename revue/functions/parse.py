@@ -10,8 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-NUMERIC = r"^[0-9.]+$"
-VOTES = r"^[0-9]+/[0-9]+$"
+from revue.fixed import NUMERIC, PRICE_MISSING, PRICE_STRIP, TITLE_DROP, VOTES
 
 
 def _c(c: str | Column) -> Column:
@@ -21,9 +20,9 @@ def _c(c: str | Column) -> Column:
 def parse_price(raw: str | Column) -> Column:
     """null / '' / 'unknown' -> null; keep digits and dots; must then be numeric."""
     raw = _c(raw)
-    digits = F.regexp_replace(raw, r"[^0-9.]", "")
+    digits = F.regexp_replace(raw, PRICE_STRIP, "")
     return (
-        F.when(raw.isNull() | raw.isin("", "unknown"), F.lit(None).cast("double"))
+        F.when(raw.isNull() | raw.isin(*PRICE_MISSING), F.lit(None).cast("double"))
         .when(digits.rlike(NUMERIC), digits.try_cast("double"))
     )
 
@@ -56,7 +55,7 @@ def parse_helpfulness(raw: str | Column) -> Column:
 
 def normalise_title(title: str | Column) -> Column:
     """coalesce(title, '') -> lower -> drop everything but ASCII letters, digits, blanks."""
-    return F.regexp_replace(F.lower(F.coalesce(_c(title), F.lit(""))), r"[^a-zA-Z0-9\s]", "")
+    return F.regexp_replace(F.lower(F.coalesce(_c(title), F.lit(""))), TITLE_DROP, "")
 
 
 def tokenize(text: str | Column) -> Column:

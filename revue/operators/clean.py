@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revue.fixed import MEDIAN_QUANTILE, MIN_PRODUCT_REVIEWS, MIN_USER_REVIEWS
 from revue.functions.parse import parse_helpfulness, parse_price, parse_rating
 
 KEEP = ["user_id", "product_id", "title", "user_name", "review_time", "review_summary", "review_text"]
@@ -28,7 +29,7 @@ def median_price(reviews: DataFrame) -> DataFrame:
     ``percentile_approx`` is a mergeable sketch: partial per task, one tiny final merge.
     """
     return reviews.where(F.col("price").isNotNull()).agg(
-        F.coalesce(F.percentile_approx("price", 0.5), F.lit(0.0)).alias("median_price"))
+        F.coalesce(F.percentile_approx("price", MEDIAN_QUANTILE), F.lit(0.0)).alias("median_price"))
 
 
 def valid_ratings(df: DataFrame) -> DataFrame:
@@ -39,7 +40,8 @@ def valid_ratings(df: DataFrame) -> DataFrame:
               .dropna(subset=["product_id", "user_id", "rating"]))
 
 
-def clean_reviews(parsed: DataFrame, min_user_reviews: int = 5, min_product_reviews: int = 10,
+def clean_reviews(parsed: DataFrame, min_user_reviews: int = MIN_USER_REVIEWS,
+                  min_product_reviews: int = MIN_PRODUCT_REVIEWS,
                   fill_price: bool = True, materialize: bool = True) -> DataFrame:
     """Null drop, median price fill, activity filter (counts taken once, after the null drop).
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revue.fixed import SAMPLE_ABOVE_ROWS, SAMPLE_FRACTION, SEED
 from revue.operators.als import hash_split_flag
 
 
@@ -14,7 +15,7 @@ def hash_split(df: DataFrame, train_pct: int = 80) -> tuple[DataFrame, DataFrame
     return df.where(flag), df.where(~flag)
 
 
-def random_split(df: DataFrame, weights: list[float], seed: int = 42) -> list[DataFrame]:
+def random_split(df: DataFrame, weights: list[float], seed: int = SEED) -> list[DataFrame]:
     """Spark's Bernoulli split (as the reference); depends on partitioning."""
     return df.randomSplit(weights, seed)
 
@@ -37,7 +38,8 @@ def residuals(pred: DataFrame) -> DataFrame:
     return pred.withColumn("residual", F.col("rating") - F.col("prediction"))
 
 
-def sample_reviews(df: DataFrame, fraction: float = 0.5, above: int = 100_000, seed: int = 42) -> DataFrame:
+def sample_reviews(df: DataFrame, fraction: float = SAMPLE_FRACTION, above: int = SAMPLE_ABOVE_ROWS,
+                   seed: int = SEED) -> DataFrame:
     """Bernoulli sample of ``fraction`` when the table has more than ``above`` rows, else all.
 
     The row count enters as a scalar subquery, so the decision stays in the plan.

@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revue.fixed import MIN_DF, VOCAB_SIZE
 from revue.functions.parse import normalise_title, tokenize
 
 
@@ -44,7 +45,7 @@ def term_frequency(terms: DataFrame) -> DataFrame:
         F.sum(F.col("n_docs") * F.col("tf")).cast("long").alias("total_count"))
 
 
-def vocabulary(terms: DataFrame, n_docs, vocab_size: int = 1000, min_df: float = 2) -> DataFrame:
+def vocabulary(terms: DataFrame, n_docs, vocab_size: int = VOCAB_SIZE, min_df: float = MIN_DF) -> DataFrame:
     """Top ``vocab_size`` terms by total count among terms in >= min_df documents, with IDF.
 
     ``min_df`` below 1.0 is a fraction of documents, as in CountVectorizer.
@@ -67,7 +68,7 @@ def scaled_price(docs: DataFrame) -> DataFrame:
 class TitleFeatures:
     """Relational TF-IDF features of a product catalog (one row per product)."""
 
-    def __init__(self, catalog: DataFrame, vocab_size: int = 1000, min_df: float = 2,
+    def __init__(self, catalog: DataFrame, vocab_size: int = VOCAB_SIZE, min_df: float = MIN_DF,
                  materialize: bool = False):
         """``materialize`` checkpoints the per-product documents and the title
         vectors (to the shared checkpoint folder): several later steps and

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from revue.fixed import HISTORY_LIMIT, POPULAR_MIN_REVIEWS, TOP_K
 from revue.functions.parse import epoch_to_date, label
 from revue.operators import topk
 
@@ -27,18 +28,18 @@ def product_ratings(reviews: DataFrame) -> DataFrame:
         F.count("rating").alias("review_count"), _avg().alias("avg_rating"))
 
 
-def popular_products(reviews: DataFrame, min_count: int = 10, k: int = 10) -> DataFrame:
+def popular_products(reviews: DataFrame, min_count: int = POPULAR_MIN_REVIEWS, k: int = TOP_K) -> DataFrame:
     """Best average rating among products with at least ``min_count`` reviews (ties by id)."""
     agg = product_ratings(reviews).where(F.col("review_count") >= min_count)
     return topk.global_(agg, [F.desc("avg_rating"), "product_id", "title"], k)
 
 
-def top_products(reviews: DataFrame, k: int = 10) -> DataFrame:
+def top_products(reviews: DataFrame, k: int = TOP_K) -> DataFrame:
     """Best average rating, no minimum review count."""
     return popular_products(reviews, min_count=0, k=k)
 
 
-def similar_by_rating(reviews: DataFrame, k: int = 10) -> DataFrame:
+def similar_by_rating(reviews: DataFrame, k: int = TOP_K) -> DataFrame:
     """The dashboard's "similar products": the best-rated products other than the selected one.
 
     Answer for every product at once, without pairing products: a product outside
@@ -90,12 +91,12 @@ HISTORY_COLS = ["product_id", "title", "rating", "helpful_votes", "review_summar
 DETAIL_COLS = ["user_name", "rating", "helpful_votes", "review_summary", "review_text", "review_time"]
 
 
-def user_history(reviews: DataFrame, limit: int = 1000) -> DataFrame:
+def user_history(reviews: DataFrame, limit: int = HISTORY_LIMIT) -> DataFrame:
     """Each user's newest ``limit`` reviews with a date column."""
     return _latest(reviews, "user_id", HISTORY_COLS, limit)
 
 
-def product_reviews(reviews: DataFrame, limit: int = 1000) -> DataFrame:
+def product_reviews(reviews: DataFrame, limit: int = HISTORY_LIMIT) -> DataFrame:
     """Each product's newest ``limit`` reviews with a date column."""
     return _latest(reviews, "product_id", DETAIL_COLS, limit)
 

@@ -12,6 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revue.fixed import HISTOGRAM_BINS
 from revue.operators import clean as C
 from revue.operators import stats as S
 from revue.plans import oracle as O
@@ -236,20 +237,20 @@ select cast(e.range as int) as bin, round(r.lo + e.range * r.w, 6) as lower, rou
 from range(0, {bins}) e cross join r left join c on c.bin = e.range order by 1""")
 
 
-@query("histogram_price", _hist_sql("try_cast(raw_price as double)", 50))
+@query("histogram_price", _hist_sql("try_cast(raw_price as double)", HISTOGRAM_BINS["price"]))
 def q_histogram_price(spark, sf):
     r = raw(spark, sf).select(F.col("raw_price").try_cast("double").alias("p"))
-    return S.histogram(r, "p", 50)
+    return S.histogram(r, "p", HISTOGRAM_BINS["price"])
 
 
 HV = ("coalesce(case when regexp_full_match(helpfulness, '[0-9]+/[0-9]+') "
       "then try_cast(split_part(helpfulness, '/', 1) as int) end, 0)")
 
 
-@query("histogram_votes", _hist_sql(HV, 30))
+@query("histogram_votes", _hist_sql(HV, HISTOGRAM_BINS["helpful_votes"]))
 def q_histogram_votes(spark, sf):
     r = raw(spark, sf).select(F.coalesce(C.parse_helpfulness("helpfulness"), F.lit(0)).alias("v"))
-    return S.histogram(r, "v", 30)
+    return S.histogram(r, "v", HISTOGRAM_BINS["helpful_votes"])
 
 
 @query("rating_frequency", O.with_parsed("select raw_rating, count(*) as count from raw group by 1"))
@@ -561,7 +562,8 @@ from range(0, 50) e cross join r left join c on c.bin = e.range order by 1"""))
 def q_residual_histogram(spark, sf):
     train, test = EV.hash_split(clean(spark, sf))
     res = EV.residuals(EV.product_mean_predictions(train, test))
-    return S.histogram(res.select(F.round("residual", 9).alias("residual")), "residual", 50)
+    return S.histogram(res.select(F.round("residual", 9).alias("residual")), "residual",
+                       HISTOGRAM_BINS["residual"])
 
 
 @query("sample_reviews")
