@@ -2,59 +2,51 @@
 
 ``row_number() over (order by ...)`` without a partition runs in one task, and a
 window partitioned by a hot key does too. Here the rows are range-partitioned
-on the sort key (balanced by sampling, so a hot key value is spread over
-several partitions when the key has a tie-breaking suffix), each partition
-computes a local running sum while streaming in order, and a per-partition
-offset table (one row per partition, a bounded broadcast) turns local sums into
-global ones.
+on the sort key (balanced by sampling; the key has a unique suffix, so even a
+hot key value spreads over several partitions), sorted within partitions and
+checkpointed. Within a partition ``monotonically_increasing_id`` numbers rows
+consecutively in that order, and numbering a filtered branch counts only the
+rows that pass; per-partition totals (one row per partition, a bounded
+broadcast) turn local counts into global ones. Everything stays in the JVM:
+no Python worker, no extra shuffle.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 PID = "__pid"
 
 
-def running_sum(df: DataFrame, order: list[str | Column], value: str, out: str,
-                partitions: int | None = None, checkpoint: bool = True) -> DataFrame:
-    """Add ``out`` = sum of ``value`` over all rows strictly before each row in ``order``.
+def running_sum(df: DataFrame, order: list[str | Column], flag: str, out: str,
+                partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = number of rows with ``flag`` = 1 strictly before each row in ``order``.
 
-    ``order`` must be a total order (unique keys) for the result to be deterministic.
-    The per-partition scan is a ``mapInPandas`` streaming pass (Arrow batches, O(1)
-    state). The frame is checkpointed to the shared checkpoint folder so the
-    offsets and the final join read the same materialised partition layout.
+    ``flag`` must be 0 or 1 and ``order`` a total order (unique keys). For a
+    flag-1 row the count is its index among flag-1 rows of its partition; for a
+    flag-0 row it is its index among all rows minus its index among flag-0 rows.
     """
     spark = df.sparkSession
     n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
-    local_col = out + "__local"
-    s = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-           .withColumn(PID, F.spark_partition_id()))
-    schema = T.StructType(list(s.schema.fields) + [T.StructField(local_col, T.LongType(), False)])
-
-    def scan(batches):
-        acc = 0
-        for pdf in batches:
-            v = pdf[value].fillna(0).astype("int64")
-            cs = v.cumsum()
-            pdf[local_col] = (cs - v + acc).astype("int64")
-            if len(v):
-                acc += int(cs.iloc[-1])
-            yield pdf
-
-    loc = s.mapInPandas(scan, schema)
-    if checkpoint:
-        loc = loc.checkpoint(eager=True)
-    totals = loc.groupBy(PID).agg(F.sum(value).cast("long").alias("__tot"))
+    # Materialised so that every branch below reads identical partitions in identical order.
+    s = df.repartitionByRange(n, *order).sortWithinPartitions(*order).checkpoint(eager=True)
+    base = F.shiftleft(F.col(PID).cast("long"), 33)
+    s = s.withColumn(PID, F.spark_partition_id()).withColumn("__all", F.monotonically_increasing_id())
+    ones = (s.where(F.col(flag) == 1).withColumn("__k", F.monotonically_increasing_id())
+             .withColumn("__local", F.col("__k") - base))
+    zeros = (s.where(F.col(flag) != 1).withColumn("__k", F.monotonically_increasing_id())
+              .withColumn("__local", F.col("__all") - F.col("__k")))
+    # Every non-empty partition needs an offset, including those without flag-1 rows.
+    totals = s.groupBy(PID).agg(F.sum(F.col(flag).cast("long")).alias("__tot"))
     offsets = totals.select(
         PID, F.coalesce(F.sum("__tot").over(Window.orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)),
                         F.lit(0)).alias("__off"))
-    # One row per partition: bounded by the partition count, safe to broadcast.
-    return (loc.join(F.broadcast(offsets), PID)
-               .withColumn(out, F.col("__off") + F.col(local_col))
-               .drop("__off", local_col, PID))
+    # One row per partition at most: bounded by the partition count, safe to broadcast.
+    both = ones.unionByName(zeros)
+    return (both.join(F.broadcast(offsets), PID)
+                .withColumn(out, F.col("__off") + F.col("__local"))
+                .drop("__off", "__local", "__k", "__all", PID))
 
 
 def dense_index(df: DataFrame, order: list[str | Column], out: str = "index",

@@ -156,3 +156,16 @@ def test_profile_columns(spark):
     df = spark.createDataFrame([(1, None), (None, "a")], "a int, b string")
     got = {r.column_name: (r.data_type, r.row_count, r.null_count) for r in S.profile_columns(df).collect()}
     assert got == {"a": ("int", 2, 1), "b": ("string", 2, 1)}
+
+
+def test_running_sum_mixed_flags_across_partitions(spark):
+    from revue.operators.positions import running_sum
+    # long runs of flag-0 rows make some range partitions hold no flag-1 row at all
+    rows = [(i, 1 if (400 <= i < 420 or i == 2999) else 0) for i in range(3000)]
+    df = spark.createDataFrame(rows, "k int, f int")
+    got = {r.k: r.c for r in running_sum(df, ["k"], "f", "c", partitions=9).collect()}
+    acc, want = 0, {}
+    for k, f in rows:
+        want[k] = acc
+        acc += f
+    assert got == want
