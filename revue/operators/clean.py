@@ -76,5 +76,14 @@ def product_catalog(clean: DataFrame) -> DataFrame:
 
 
 def catalog_lookup(clean: DataFrame) -> DataFrame:
-    """One row per product (smallest title, smallest price) for joins that must not multiply rows."""
-    return clean.groupBy("product_id").agg(F.min("title").alias("title"), F.min("price").alias("price"))
+    """One row per product for joins that must not multiply rows: its most-reviewed
+    (title, price), then the lowest price, then the smallest title.
+
+    Partial counts per (product, title, price), then a per-product top-1 (a partial
+    WindowGroupLimit runs before the shuffle).
+    """
+    from revue.operators import topk
+    triples = clean.groupBy("product_id", "title", "price").agg(F.count(F.lit(1)).alias("n"))
+    best = topk.per_key(triples, ["product_id"],
+                        [F.desc("n"), F.asc_nulls_last("price"), F.asc_nulls_last("title")], 1, rank_col="r")
+    return best.select("product_id", "title", "price")

@@ -309,7 +309,10 @@ def q_known_users(spark, sf):
 from revue.operators import features as FT  # noqa: E402
 from revue.operators import similarity as SIM  # noqa: E402
 
-CATALOG_CTE = ", catalog as (select product_id, min(title) as title, min(price) as price from clean group by 1)"
+CATALOG_CTE = (", catalog as (select product_id, title, price from (select product_id, title, price, "
+               "row_number() over (partition by product_id order by n desc, price asc nulls last, "
+               "title asc nulls last) as r from (select product_id, title, price, count(*) as n from clean "
+               "group by 1, 2, 3) t) q where r = 1)")
 
 SIM_CTES = CATALOG_CTE + """,
  n as (select count(*) as nd from catalog), s as (select min(price) as lo, max(price) as hi from catalog),

@@ -169,3 +169,10 @@ def test_running_sum_mixed_flags_across_partitions(spark):
         want[k] = acc
         acc += f
     assert got == want
+
+
+def test_catalog_lookup_prefers_most_reviewed_triple(spark):
+    df = parsed_rows(spark, [("u1", "a", 5.0, 4.0), ("u2", "a", 5.0, 4.0), ("u3", "a", 3.0, 4.0),
+                             ("u1", "b", 2.0, 4.0), ("u2", "b", 1.0, 4.0)])
+    got = {r.product_id: r.price for r in C.catalog_lookup(df).collect()}
+    assert got == {"a": 5.0, "b": 1.0}      # a: most reviewed; b: tie -> lowest price
