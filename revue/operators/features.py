@@ -59,8 +59,8 @@ def vocabulary(terms: DataFrame, n_docs, vocab_size: int = VOCAB_SIZE, min_df: f
 
 def scaled_price(docs: DataFrame) -> DataFrame:
     """Min-max scale of price over the documents; a constant column maps to 0.5."""
-    rng = docs.agg(F.min("price").alias("lo"), F.max("price").alias("hi"))
-    lo, hi = rng.select("lo").scalar(), rng.select("hi").scalar()
+    rng = docs.agg(F.struct(F.min("price").alias("lo"), F.max("price").alias("hi"))).scalar()
+    lo, hi = rng.getField("lo"), rng.getField("hi")
     return docs.withColumn("scaled_price", F.when(hi == lo, F.lit(0.5))
                            .otherwise((F.col("price") - lo) / (hi - lo)))
 
