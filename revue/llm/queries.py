@@ -11,8 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from revue.llm import decontaminate, langid, mixing, near_dedup, sharding, toxicity, url_filter
 from revue.llm import exact_dedup as dedup
-from revue.llm import mixing, sharding, url_filter
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -92,6 +92,31 @@ def op3_stratified_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.lit(None).cast("int").alias("grown_shard")))
 
 
+# ------------------------------------------------------------------ 4 near-dedup
+
+@query("op4_order_minhash")
+def op4_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_dedup(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------------ 5 language ID
+
+def id_remainder(folds: int):
+    """crc32 of the document id as text, modulo ``folds``; a null id counts as empty text."""
+    return F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % folds
+
+
+def language_model(docs: DataFrame) -> langid.LanguageModel:
+    return langid.fit(docs.where(id_remainder(4) != 2))
+
+
+@query("op5_centroid_language")
+def op5_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return (langid.identify(docs, language_model(docs)).withColumn("held_out", id_remainder(4) == 2)
+            .select("doc_id", "held_out", "lang_pred", "score", "rejected"))
+
+
 # ------------------------------------------------------------------ 7 mixing
 
 MIX_CYCLE, MIX_SHARE, MIX_EPOCHS = [5.0, 2.0, 1.0], 1.5, 2.0
@@ -129,6 +154,16 @@ def op7_water_filling_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "size", "source_size", "target", "taken"))
 
 
+# ------------------------------------------------------------------ 8 toxicity
+
+@query("op8_weak_supervision_toxicity")
+def op8_weak_supervision_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(id_remainder(5) != 0))
+    return (toxicity.score(docs, model).withColumn("held_out", id_remainder(5) == 0)
+            .select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")))
+
+
 # ------------------------------------------------------------------ 9 URL filter
 
 #: First day and number of days of the crawl that gives each page a fetch date.
@@ -200,3 +235,10 @@ def op9_temporal_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     out = url_filter.url_filter(captures_of(pages), list_events_of(pages))
     return out.withColumns({c: F.col(c).cast("string") for c in ("fetched_on", "valid_from")})
+
+
+# ------------------------------------------------------------------ 10 decontamination
+
+@query("op10_simhash_decontamination")
+def op10_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
