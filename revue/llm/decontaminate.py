@@ -235,5 +235,26 @@ def contaminated(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     return out.select(F.col("id").alias(id_col), F.col("item").alias(item_id_col), "first_word", "n_words", "similarity")
 
 
+def clean(df: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
+          item_text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY, radius: int = RADIUS,
+          block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``df``, whole, that hold no item; nothing is shuffled. Cases as for ``contaminated``."""
+    def without(block: list[tuple[object, str]]):
+        made: list[ItemIndex] = []
+
+        def decide(extra: list[pa.Array]) -> np.ndarray:
+            if not made:
+                made.append(ItemIndex([t for _, t in block], words, similarity, radius))
+            keep = np.ones(len(extra[0]), bool)
+            for row, _, data, offsets in T.blocks(extra[0]):
+                keep[[row + f[0] for f in made[0].search(data, offsets)]] = False
+            return keep
+        return decide
+
+    for block in item_blocks(items, item_id_col, item_text_col, block_words):
+        df = T.row_filter(df, {"text": F.lower(F.coalesce(F.col(text_col), F.lit("")))}, without(block))
+    return df
+
+
 def _arrow(kind: str) -> pa.DataType:
     return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]

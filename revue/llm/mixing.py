@@ -22,6 +22,8 @@ from revue.llm.prefix import running_total, seeded_key
 
 #: Fixed value: white space of the word count (space, tab to carriage return).
 BLANKS = " \t\n\x0b\f\r"
+#: A table of sources is broadcast up to this many rows (a name and a few numbers each).
+SMALL_SOURCES = 10_000
 
 
 def word_count(text: Column) -> Column:
@@ -67,18 +69,9 @@ def sized_rows(df: DataFrame, seed: str, id_col: str, source_col: str, text_col:
                      word_count(F.col(text_col)).alias("size"), seeded_key(id_col, seed).alias("_key"))
 
 
-def mix(df: DataFrame, weights: DataFrame | list[float], share: float = 1.0, max_epochs: float = 2.0,
-        seed: str = "mix", id_col: str = "doc_id", source_col: str = "source",
-        text_col: str = "text") -> DataFrame:
-    """Return id, source, size, source_size, target, reps, taken: one row per input row.
-
-    ``weights`` is a table (src, weight) with one row per source (a source without a row has weight 0), or a list of
-    weights that is repeated over the sources by code point. ``reps`` is how often the
-    mix takes the row, ``taken`` = reps * size. Null text has 0 words, null sources
-    form one source, a null id counts as an empty id in the seeded order; rows that
-    repeat an id, size and source are interchangeable. Empty table: empty result.
-    ``reps`` never exceeds ``max_epochs`` rounded up.
-    """
+def _planned(df: DataFrame, weights: DataFrame | list[float], share: float, max_epochs: float, seed: str,
+             id_col: str, source_col: str, text_col: str) -> DataFrame:
+    """id, src, size, _key, source_size, target, whole, extra of every row."""
     rows = materialize(sized_rows(df, seed, id_col, source_col, text_col), "mix-sizes")
     totals = running_total(rows, ["src"], "size", ["id", "size"])
     sizes = rows.groupBy("src").agg(F.sum("size").alias("source_size"))
@@ -91,9 +84,49 @@ def mix(df: DataFrame, weights: DataFrame | list[float], share: float = 1.0, max
     goals = water_fill(weighed, share, max_epochs).select(F.col("src").alias("g_src"), "source_size", "target")
     whole = F.when(F.col("source_size") > 0, F.floor(F.col("target") / F.col("source_size"))).otherwise(F.lit(0))
     rest = F.col("target") - F.col("whole") * F.col("source_size")
-    extra = (rest > 0) & (2 * F.col("_before") + F.col("size") <= 2 * rest)
-    return (totals.join(goals, F.col("src").eqNullSafe(F.col("g_src")))
-            .withColumn("whole", whole.cast("long"))
-            .withColumn("reps", F.col("whole") + extra.cast("long"))
+    return (totals.join(goals, F.col("src").eqNullSafe(F.col("g_src"))).withColumn("whole", whole.cast("long"))
+            .withColumn("extra", (rest > 0) & (2 * F.col("_before") + F.col("size") <= 2 * rest)))
+
+
+def mix(df: DataFrame, weights: DataFrame | list[float], share: float = 1.0, max_epochs: float = 2.0,
+        seed: str = "mix", id_col: str = "doc_id", source_col: str = "source",
+        text_col: str = "text") -> DataFrame:
+    """Return id, source, size, source_size, target, reps, taken: one row per input row.
+
+    ``weights`` is a table (src, weight) with one row per source (a source without a row
+    has weight 0), or a list of weights that is repeated over the sources by code point.
+    ``reps`` is how often the mix takes the row, ``taken`` = reps * size. Null text has 0
+    words, null sources form one source, a null id counts as an empty id in the seeded
+    order; rows that repeat an id, size and source are interchangeable. Empty table: empty
+    result. ``reps`` never exceeds ``max_epochs`` rounded up.
+    """
+    reps = F.col("whole") + F.col("extra").cast("long")
+    return (_planned(df, weights, share, max_epochs, seed, id_col, source_col, text_col)
             .select(F.col("id").alias(id_col), F.col("src").alias(source_col), "size", "source_size", "target",
-                    "reps", (F.col("reps") * F.col("size")).alias("taken")))
+                    reps.alias("reps"), (reps * F.col("size")).alias("taken")))
+
+
+def mixed_rows(df: DataFrame, weights: DataFrame | list[float], share: float = 1.0, max_epochs: float = 2.0,
+               seed: str = "mix", id_col: str = "doc_id", source_col: str = "source",
+               text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, whole, each as often as ``mix`` takes it.
+
+    The extra rows of a source are those up to a last one in its seeded order, so one row per source
+    (whole repetitions, last extra row) decides, and texts are not shuffled. That table is
+    broadcast if it has at most ``SMALL_SOURCES`` rows, else joined as Spark sees fit. Rows that repeat an
+    id, size and source are taken alike.
+    """
+    at = F.struct(F.col("_key").alias("k"), F.col("id").alias("i"), F.col("size").alias("s"))
+    cuts = materialize(_planned(df, weights, share, max_epochs, seed, id_col, source_col, text_col)
+                       .groupBy("src").agg(F.max("whole").alias("whole"), F.max(F.when(F.col("extra"), at)).alias("last")),
+                       "mix-cuts").select(F.col("src").alias("c_src"), F.col("whole").alias("c_whole"),
+                                          F.col("last").alias("c_last"))
+    if cuts.limit(SMALL_SOURCES + 1).count() <= SMALL_SOURCES:
+        cuts = F.broadcast(cuts)
+    here = F.struct(seeded_key(id_col, seed).alias("k"), F.col(id_col).alias("i"), word_count(F.col(text_col)).alias("s"))
+    names = [F.col(c) for c in df.columns]
+    wide = df.select(F.struct(*names).alias("row"), F.col(source_col).alias("r_src"), here.alias("here"))
+    times = F.col("c_whole") + F.coalesce(F.col("here") <= F.col("c_last"), F.lit(False)).cast("long")
+    return (wide.join(cuts, F.col("r_src").eqNullSafe(F.col("c_src"))).withColumn("times", times.cast("int"))
+            .where("times > 0").select("row", F.explode(F.array_repeat(F.lit(0), F.col("times"))).alias("copy"))
+            .select("row.*"))

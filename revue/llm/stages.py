@@ -1,7 +1,7 @@
 """Stages of the corpus pipeline; each takes (spark, docs, sf_dir) and returns a DataFrame.
 
-All but the last return the columns of ``docs``. Rows are told apart by doc_id, which
-must be unique; a row with a null id is kept by every filter and taken once by the mix.
+All but the last return the columns of ``docs``, whole rows. Near-dedup drops rows by
+doc_id, which names a document; rows with a null doc_id are kept there.
 """
 
 from __future__ import annotations
@@ -15,28 +15,23 @@ from revue.llm.queries import MIX_CYCLE, MIX_EPOCHS, MIX_SHARE, SHARDS, language
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents whose language the classifier rejects (no letter, or far from every language it knows)."""
-    verdict = langid.identify(docs, language_model(docs)).where("rejected")
-    return _without(docs, verdict)
+    return langid.identified(docs, language_model(docs))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document (the smallest id) of each class of near-duplicates."""
-    return _without(docs, near_dedup.near_dedup(docs).where(~F.col("kept")))
+    dropped = near_dedup.near_dedup(docs).where(~F.col("kept")).select(F.col("doc_id").alias("dropped_id"))
+    return docs.join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that hold an item of the benchmark."""
-    return _without(docs, decontaminate.contaminated(docs, table(spark, sf_dir, "benchmark")))
+    return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Each document as often as the mix takes it: not at all, once or more."""
-    mixed = mixing.mix(docs, MIX_CYCLE, MIX_SHARE, MIX_EPOCHS).where("doc_id is not null")
-    reps = mixed.select(F.col("doc_id").alias("mix_id"), F.col("reps").cast("int").alias("mix_reps")).dropDuplicates(["mix_id"])
-    times = F.coalesce("mix_reps", F.lit(1))
-    return (docs.join(reps, F.col("doc_id") == F.col("mix_id"), "left").where(times > 0)
-            .withColumn("mix_copy", F.explode(F.array_repeat(F.lit(0), times)))
-            .select(*[docs[c] for c in docs.columns]))
+    return mixing.mixed_rows(docs, MIX_CYCLE, MIX_SHARE, MIX_EPOCHS)
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -44,9 +39,5 @@ def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return sharding.interleave(docs, SHARDS)
 
 
-def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    return docs.join(dropped.select(F.col("doc_id").alias("dropped_id")), F.col("doc_id") == F.col("dropped_id"), "left_anti")
-
-
 STAGES = [("language-id", language), ("near-dedup", near_duplicates), ("decontamination", benchmark),
           ("mixing", mixture), ("sharding", shard)]

@@ -7,10 +7,12 @@ with fewer than ``k`` words has one shingle, of all its words; one without words
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 
 U = np.uint64
 _P1, _P2, _P3 = U(0x9E3779B97F4A7C15), U(0xBF58476D1CE4E5B9), U(0x94D049BB133111EB)
@@ -107,6 +109,22 @@ def labelled(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return out
 
 
+def row_filter(df: DataFrame, extra: dict[str, Column], decide) -> DataFrame:
+    """Rows of ``df`` for which ``decide(extra arrays)`` holds, unshuffled; ``extra`` columns are added for it only.
+
+    ``decide`` runs per Arrow batch, gets the extra arrays in order and returns a boolean array of its length.
+    """
+    names = [f"_x{k}_{uuid.uuid4().hex[:8]}" for k in range(len(extra))]
+    width = len(df.columns)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = decide([batch.column(width + k) for k in range(len(names))])
+            yield batch.select(list(range(width))).filter(pa.array(keep))
+    wide = df.select("*", *[c.alias(n) for n, c in zip(names, extra.values(), strict=True)])
+    return wide.mapInArrow(run, df.schema)
+
+
 def lists(values: np.ndarray, begin: np.ndarray) -> pa.Array:
     """An Arrow list<int64> array of stretches of ``values``."""
     return pa.ListArray.from_arrays(pa.array(begin.astype(np.int32)), pa.array(values.view(np.int64)))
