@@ -8,10 +8,22 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revue.llm import decontaminate, langid, mixing, near_dedup, sharding, toxicity, url_filter
+from revue.conf import scratch_path
+from revue.llm import (
+    decontaminate,
+    langid,
+    mixing,
+    near_dedup,
+    sharding,
+    token_counts,
+    token_ids,
+    toxicity,
+    url_filter,
+)
 from revue.llm import exact_dedup as dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +43,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+# ------------------------------------------------------------------ 1 token counts
+
+@query("op1_trie_token_counts")
+def op1_trie_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
 # ------------------------------------------------------------------ 2 exact dedup
 
 @query("op2_exact_dedup", r"""
@@ -117,6 +136,15 @@ def op5_centroid_language(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "held_out", "lang_pred", "score", "rejected"))
 
 
+# ------------------------------------------------------------------ 6 token ids
+
+@query("op6_ranked_token_files")
+def op6_ranked_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = scratch_path(spark, "token-files")
+    token_ids.write_token_files(table(spark, sf_dir, "documents"), path, public_tokenizers.path("byte_bpe_50k.json"))
+    return token_ids.digests(spark, path).withColumnRenamed("id", "doc_id")
+
+
 # ------------------------------------------------------------------ 7 mixing
 
 MIX_CYCLE, MIX_SHARE, MIX_EPOCHS = [5.0, 2.0, 1.0], 1.5, 2.0

@@ -48,9 +48,10 @@ def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int
         row = end
 
 
-def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def word_spans(data: np.ndarray, offsets: np.ndarray,
+               word_byte: np.ndarray = WORD_BYTE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word, and the first word of each text (with the end)."""
-    inside = WORD_BYTE[data]
+    inside = word_byte[data]
     cut = np.zeros(len(data) + 1, bool)
     cut[offsets] = True
     starts, ends = inside.copy(), inside.copy()
@@ -109,6 +110,43 @@ def labelled(values: np.ndarray, begin: np.ndarray) -> np.ndarray:
     return out
 
 
+class Numbers:
+    """Numbers 64-bit hashes 0, 1, 2, ... in the order in which they are added.
+
+    Two sorted arrays, the smaller one merged into the larger as it grows.
+    """
+
+    def __init__(self):
+        self.parts = [(np.zeros(0, U), np.zeros(0, np.int64))] * 2
+        self.size = 0
+
+    def find(self, asked: np.ndarray) -> np.ndarray:
+        """Number of each hash, -1 if it has none."""
+        out = np.full(len(asked), -1)
+        for known, number in self.parts:
+            if len(known):
+                at = np.minimum(np.searchsorted(known, asked), len(known) - 1)
+                out = np.where(known[at] == asked, number[at], out)
+        return out
+
+    def add(self, hashes: np.ndarray) -> np.ndarray:
+        """Number distinct new hashes."""
+        new = self.size + np.arange(len(hashes))
+        self.size += len(hashes)
+        large, small = self.parts
+        small = self._merge(small, (hashes, new))
+        if len(small[0]) > 50_000 + len(large[0]) // 4:
+            large, small = self._merge(large, small), (np.zeros(0, U), np.zeros(0, np.int64))
+        self.parts = [large, small]
+        return new
+
+    @staticmethod
+    def _merge(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        known = np.concatenate([a[0], b[0]])
+        order = np.argsort(known, kind="stable")
+        return known[order], np.concatenate([a[1], b[1]])[order]
+
+
 def row_filter(df: DataFrame, extra: dict[str, Column], decide) -> DataFrame:
     """Rows of ``df`` for which ``decide(extra arrays)`` holds, unshuffled; ``extra`` columns are added for it only.
 
