@@ -62,11 +62,14 @@ def interleave(df: DataFrame, shards: int, seed: str = "shard", id_col: str = "d
 
 
 def write_shards(df: DataFrame, path: str, shards: int, seed: str = "shard", id_col: str = "doc_id",
-                 source_col: str = "source", text_col: str = "text") -> None:
-    """Write whole rows of ``df`` as ``path/shard=N/``, ordered by slot; ids must be unique and not null."""
+                 source_col: str = "source", text_col: str = "text", piece: int = 100_000) -> None:
+    """Write whole rows of ``df`` as ``path/shard=N/``, in files of ``piece`` slots, each ordered by slot.
+
+    Ids must be unique; rows with a null id are not written. A column named ``shard`` is replaced.
+    """
     plan = interleave(df, shards, seed, id_col, source_col, text_col).select(
-        F.col(id_col).alias("_id"), F.col("shard").alias("shard_"), "slot")
-    (df.join(plan, F.col(id_col) == F.col("_id")).drop("_id")
-     .withColumn("piece", F.expr("slot div 100000"))
-     .repartition("shard_", "piece").sortWithinPartitions("shard_", "slot").drop("piece", "slot")
-     .withColumnRenamed("shard_", "shard").write.partitionBy("shard").parquet(path))
+        F.col(id_col).alias("_id"), "shard", "slot", F.expr(f"slot div {piece}").alias("_piece"))
+    rows = df.drop("shard").select(F.struct("*").alias("_row"))
+    (rows.join(plan, F.col("_row")[id_col] == F.col("_id"))
+     .repartition("shard", "_piece").sortWithinPartitions("shard", "slot").select("_row.*", "shard")
+     .write.partitionBy("shard").parquet(path))

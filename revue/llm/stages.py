@@ -21,7 +21,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document (the smallest id) of each class of near-duplicates."""
     dropped = near_dedup.near_dedup(docs).where(~F.col("kept")).select(F.col("doc_id").alias("dropped_id"))
-    return docs.join(dropped, F.col("doc_id") == F.col("dropped_id"), "left_anti")
+    return docs.join(dropped, docs["doc_id"] == dropped["dropped_id"], "left_anti")
 
 
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -133,7 +133,8 @@ class Counter:
         at = at[which]
         text = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
         tokens = np.bincount(text, self.tokens[at], len(offsets) - 1)
-        return np.diff(first), tokens.astype(np.int64), np.bincount(text, self.score[at], len(offsets) - 1)
+        score = np.bincount(text, self.score[at], len(offsets) - 1)
+        return np.diff(first), tokens.astype(np.int64), score.astype(float)
 
 
 def pieces_of(path: str) -> list[str]:

@@ -97,10 +97,9 @@ def url_filter(captures: DataFrame, events: DataFrame, url_col: str = "url", dat
     specific = F.max(F.struct(F.length("entry").alias("len"), "entry", "category", "valid_from")).alias("m")
     decided = (keyed.withColumn("salt", F.pmod(F.xxhash64("q_url"), F.lit(salts)).cast("int"))
                .join(salted, ["entry", "q_date", "salt"]).groupBy("q_url", "q_date").agg(specific))
+    m = decided["m"]
     return (keep.join(decided, keep[url_col].eqNullSafe(decided["q_url"])
                       & keep[date_col].cast("date").eqNullSafe(decided["q_date"]), "left")
             .select(*[keep[c] for c in keep.columns], host_of(keep[url_col]).alias("host"),
-                    F.col("m.entry").alias("entry"), F.col("m.category").alias("category"),
-                    F.col("m.valid_from").alias("valid_from"),
-                    F.when(F.coalesce(F.col("m.category"), F.lit(ALLOW)) == ALLOW, ALLOW)
-                    .otherwise(BLOCK).alias("decision")))
+                    m["entry"].alias("entry"), m["category"].alias("category"), m["valid_from"].alias("valid_from"),
+                    F.when(F.coalesce(m["category"], F.lit(ALLOW)) == ALLOW, ALLOW).otherwise(BLOCK).alias("decision")))
