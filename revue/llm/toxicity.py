@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revue.llm import textops as T
+from revue.llm.prefix import lowest
 
 SAMPLE, TERMS, GROUPS, G_LEAST = 20_000, 512, 32, 20.0
 PREFIXES = (4, 5, 6, 7)
@@ -168,8 +169,8 @@ def fit(df: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str
     """
     known = (labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("toxic"))
              .where("id is not null and toxic is not null").groupBy("id").agg(F.max("toxic").alias("toxic"))
-             .join(df.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi")
-             .orderBy(F.xxhash64("id", F.lit("toxic")), "id").limit(sample))
+             .join(df.select(F.col(id_col).alias("id")).distinct(), "id", "left_semi").withColumn("all", F.lit(1)))
+    known = lowest(known, ["all"], "id", "toxic", sample).select("id", "toxic")
     # Bounded: at most ``sample`` (id, label) pairs.
     rows = (df.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("t"))
             .join(F.broadcast(known), "id").select("toxic", "t"))
