@@ -10,10 +10,18 @@ shingles of a text and keeps them in text order; the hash of the triple is a key
 Two texts whose shingle sets have Jaccard similarity J share a given key with a
 probability of about J^3, so a pair at 0.67 is missed with (1 - 0.3)^32, about 1 in 10^5.
 
-Pairs: texts with the same words are one node. Texts that share a key are first linked to the
-smallest of them only (a star, never all pairs), and verified; components of these links
-are found; then texts of one key that lie in different components are verified with each other.
-Members of one component are not compared again, so a group of n copies costs about n alignments.
+Texts with the same words are one node. Texts that share a key are a bucket. No pairs are made
+of a bucket; all links within it are found in two steps:
+
+1. Its hub (the node that shares most keys with others, usually the text the others were
+   copied from) is aligned with every other node: a star.
+2. Two nodes x, y of one hub that are still in different components can only be linked if they
+   have a shingle in common among a prefix of each, the first |y| - ceil(0.8 |y|) + 1 of y's
+   distinct labelled shingles in the order "not in the hub first, then by hash": with less in common,
+   too few of the 0.8 |y| common shingles a link needs would be left. A copy that was changed too
+   much to be linked to its hub has a prefix of its own new shingles, so it meets only
+   texts with the same changes. Such pairs are aligned too.
+
 Texts leave the documents only for nodes that share a key with another.
 """
 
@@ -95,74 +103,121 @@ def _shingle_batches(words: int):
 def aligned_distance(pairs: list[tuple[np.ndarray, np.ndarray]], band: int) -> np.ndarray:
     """Edit distance of each pair, exact up to ``band`` and larger than it otherwise.
 
-    Only cells within ``band`` of the diagonal are computed, row by row for all pairs at once.
+    Only cells within ``band`` of the diagonal are computed, row by row for all pairs that are not done.
     """
-    n = np.array([len(a) for a, _ in pairs])
-    m = np.array([len(b) for _, b in pairs])
+    order = np.argsort([len(a) for a, _ in pairs], kind="stable")
+    n = np.array([len(pairs[p][0]) for p in order])
+    m = np.array([len(pairs[p][1]) for p in order])
     width, far = 2 * band + 1, np.int32(1 << 28)
     a_pad = np.zeros((len(pairs), n.max() + 1), T.U)
     b_pad = np.zeros((len(pairs), max(n.max(), m.max()) + width + 1), T.U)
-    for p, (a, b) in enumerate(pairs):
-        a_pad[p, :len(a)] = a
-        b_pad[p, band:band + len(b)] = b
+    for k, p in enumerate(order):
+        a_pad[k, :n[k]] = pairs[p][0]
+        b_pad[k, band:band + m[k]] = pairs[p][1]
     column = np.arange(width, dtype=np.int32)
     dist = np.where(column >= band, column - band, far).astype(np.int32) + np.zeros((len(pairs), 1), np.int32)
     out = np.full(len(pairs), far)
     corner = m - n + band
     inside = (corner >= 0) & (corner < width)
+    low = 0  # pairs before it are done
     for i in range(n.max() + 1):
         if i:
-            step = dist + (a_pad[:, i - 1:i] != b_pad[:, i - 1:i - 1 + width])
+            step = dist + (a_pad[low:, i - 1:i] != b_pad[low:, i - 1:i - 1 + width])
             if i <= band:  # column j = 0 is reached from above only
                 step[:, :band - i + 1] = far
-            step[:, :-1] = np.minimum(step[:, :-1], dist[:, 1:] + 1)
-            dist = np.minimum.accumulate(step - column, axis=1) + column
-        done = np.flatnonzero((n == i) & inside)
-        out[done] = dist[done, corner[done]]
+            np.minimum(step[:, :-1], dist[:, 1:] + 1, out=step[:, :-1])
+            step -= column
+            np.minimum.accumulate(step, axis=1, out=step)
+            step += column
+            dist = step
+        end = low
+        while end < len(n) and n[end] == i:
+            if inside[end]:
+                out[order[end]] = dist[end - low, corner[end]]
+            end += 1
+        dist, low = dist[end - low:], end
     return out
 
 
-def alike(pairs: list[tuple[np.ndarray, np.ndarray]], similarity: float) -> np.ndarray:
-    """Whether 1 - edit distance / longer length reaches ``similarity``, for each pair of sequences."""
+def _chunks(open_: list, length, room: int, cells: int = 2_000_000) -> Iterator[list]:
+    """Stretches of a list sorted by ``length``, of at most ``room`` entries and ``cells`` padded cells (one at least)."""
+    part: list = []
+    for x in open_:
+        if part and (len(part) >= room or (len(part) + 1) * length(x) > cells):
+            yield part
+            part = []
+        part.append(x)
+    if part:
+        yield part
+
+
+def alike(pairs: list[tuple[np.ndarray, np.ndarray]], common: np.ndarray, similarity: float) -> np.ndarray:
+    """Whether 1 - edit distance / longer length reaches ``similarity``, for each pair of sequences.
+
+    ``common`` holds the number of labelled shingles that the two have in common.
+    """
     out, open_ = np.zeros(len(pairs), bool), []
     for p, (a, b) in enumerate(pairs):
         longer = max(len(a), len(b))
         limit = int((1 - similarity) * longer + 1e-9)
-        if abs(len(a) - len(b)) > limit:
-            continue
-        one = np.array([0, len(a)]), np.array([0, len(b)])
-        common = len(np.intersect1d(T.labelled(a, one[0]), T.labelled(b, one[1]), assume_unique=True))
-        if longer - common <= limit:  # every edit costs at least one common shingle
+        if longer - common[p] <= limit:  # every edit costs at least one common shingle
             open_.append((p, limit))
+    open_.sort(key=lambda x: max(map(len, pairs[x[0]])))
     band = 16
     while open_:
-        open_.sort(key=lambda x: len(pairs[x[0]][0]))
         later = []
-        room = max(1, 40_000 // (2 * band + 1))
-        for k in range(0, len(open_), room):
-            some = open_[k:k + room]
+        for some in _chunks(open_, lambda x: max(map(len, pairs[x[0]])), max(1, 60_000 // (2 * band + 1))):
             for (p, limit), d in zip(some, aligned_distance([pairs[p] for p, _ in some], band), strict=True):
                 if d <= band:
                     out[p] = d <= limit
                 elif limit > band:
                     later.append((p, limit))
-        open_, band = later, band * 4
+        open_, band = later, min(4 * band, max((x[1] for x in later), default=0))
+    return out
+
+
+def _columns(part: pa.RecordBatch, names: tuple[str, str]) -> list[tuple[list[np.ndarray], list[np.ndarray]]]:
+    """The sequences of two list columns, as they are and labelled and sorted."""
+    out = []
+    for name in names:
+        col = part.column(name)
+        begin = col.offsets.to_numpy()
+        flat = np.asarray(col.values).view(T.U)[begin[0]:begin[-1]]
+        own = begin - begin[0]
+        labels = T.labelled(flat, own)
+        cuts = list(zip(own[:-1], own[1:], strict=True))
+        out.append(([flat[s:e] for s, e in cuts], [np.sort(labels[s:e]) for s, e in cuts]))
     return out
 
 
-def _verify_batches(similarity: float):
+def _star_batches(similarity: float):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(0, batch.num_rows, 500):
+                part = batch.slice(row, 500)
+                (hubs, hub_sets), (nodes, node_sets) = _columns(part, ("seq_a", "seq_b"))
+                news = [~np.isin(b, a, assume_unique=True) for a, b in zip(hub_sets, node_sets, strict=True)]
+                common = np.array([len(new) - int(new.sum()) for new in news])
+                size = [len(b) - int(np.ceil(similarity * len(b) - 1e-9)) + 1 for b in node_sets]
+                first = [np.concatenate([b[new], b[~new]])[:k] for b, new, k in zip(node_sets, news, size, strict=True)]
+                begin = np.concatenate([[0], np.cumsum([len(f) for f in first])])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("a"), part.column("b"), pa.array(alike(list(zip(hubs, nodes, strict=True)), common, similarity)),
+                     pa.array([len(b) for b in nodes], pa.int64()), T.lists(np.concatenate(first), begin)],
+                    ["a", "b", "linked", "n", "prefix"])
+    return run
+
+
+def _pair_batches(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in range(0, batch.num_rows, 2000):
-                part = batch.slice(row, 2000)
-                sides = []
-                for c in (2, 3):
-                    col = part.column(c)
-                    begin = col.offsets.to_numpy()
-                    flat = np.asarray(col.values).view(T.U)
-                    sides.append([flat[s:e] for s, e in zip(begin[:-1], begin[1:], strict=True)])
-                ok = pa.array(alike(list(zip(*sides, strict=True)), similarity))
-                yield pa.RecordBatch.from_arrays([part.column(0).filter(ok), part.column(1).filter(ok)], ["a", "b"])
+            for row in range(0, batch.num_rows, 500):
+                part = batch.slice(row, 500)
+                (left, left_sets), (right, right_sets) = _columns(part, ("seq_a", "seq_b"))
+                common = np.array([len(np.intersect1d(a, b, assume_unique=True))
+                                   for a, b in zip(left_sets, right_sets, strict=True)])
+                ok = pa.array(alike(list(zip(left, right, strict=True)), common, similarity))
+                yield pa.RecordBatch.from_arrays([part.column("a").filter(ok), part.column("b").filter(ok)], ["a", "b"])
     return run
 
 
@@ -184,34 +239,37 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     named = docs.where("id is not null and n > 0")
     nodes = materialize(named.groupBy(*content).agg(F.min(F.struct("id", "keys")).alias("m"))
                         .select(*content, F.col("m.id").alias("node"), F.col("m.keys").alias("keys")), "omh-nodes")
-    keyed = nodes.select("node", "n", F.explode("keys").alias("key"))
-    buckets = keyed.groupBy("key").agg(F.min("node").alias("hub"), F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = materialize(keyed.join(buckets.drop("size"), "key"), "omh-buckets")
-    wanted = shared.select(F.col("node").alias("id")).distinct()
-    seqs = materialize(texts.join(wanted, "id", "left_semi").dropDuplicates(["id"])
+    keyed = nodes.select("node", F.explode("keys").alias("key"))
+    sizes = keyed.groupBy("key").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = materialize(keyed.join(sizes, "key"), "omh-buckets")
+    central = shared.groupBy("node").agg(F.sum("size").alias("weight"))
+    weighed = shared.join(central, "node")
+    hubs = weighed.groupBy("key").agg(F.min(F.struct((-F.col("weight")).alias("w"), "node")).alias("h"))
+    stars = (shared.join(hubs.select("key", F.col("h.node").alias("a")), "key").where("a <> node")
+             .select("a", F.col("node").alias("b")).distinct())
+    seqs = materialize(texts.join(central.select(F.col("node").alias("id")), "id", "left_semi").dropDuplicates(["id"])
                        .mapInArrow(_shingle_batches(words), f"id {kind}, seq array<long>"), "omh-sequences")
 
-    def verified(pairs: DataFrame) -> DataFrame:
-        left = pairs.join(seqs.select(F.col("id").alias("a"), F.col("seq").alias("seq_a")), "a")
-        both = left.join(seqs.select(F.col("id").alias("b"), F.col("seq").alias("seq_b")), "b")
-        return both.select("a", "b", "seq_a", "seq_b").mapInArrow(_verify_batches(similarity), f"a {kind}, b {kind}")
+    def with_sequences(pairs: DataFrame) -> DataFrame:
+        for side in "ab":
+            pairs = pairs.join(seqs.select(F.col("id").alias(side), F.col("seq").alias(f"seq_{side}")), side)
+        return pairs.select("a", "b", "seq_a", "seq_b")
 
-    stars = materialize(shared.where("hub <> node").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct(),
-                        "omh-stars")
-    links = materialize(verified(stars), "omh-links")
+    tested = materialize(with_sequences(stars).mapInArrow(
+        _star_batches(similarity), f"a {kind}, b {kind}, linked boolean, n long, prefix array<long>"), "omh-stars")
+    links = tested.where("linked").select("a", "b")
     comps = connected_components(links)
 
-    spread = materialize(shared.join(comps, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-                         .select("key", "node", "comp", "n"), "omh-spread")
-    mixed = spread.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("key")
-    open_ = spread.join(mixed, "key")
-    a, b = (open_.select("key", F.col("node").alias(s), F.col("comp").alias(f"c{s}"), F.col("n").alias(f"n{s}"))
-            for s in "ab")
-    # Words differ from shingles by a constant; the alignment applies the exact bound.
-    near = F.least("na", "nb") >= similarity * F.greatest("na", "nb") - words
-    across = (a.join(b, "key").where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & near)
-              .select("a", "b").distinct().join(stars, ["a", "b"], "left_anti"))
-    more = verified(across).select("a", "b")
+    placed = tested.join(comps.withColumnRenamed("node", "b"), "b", "left").withColumn("comp", F.coalesce("comp", "b"))
+    rows = materialize(placed.select("a", "b", "comp", "n", F.explode("prefix").alias("s")), "omh-prefixes")
+    mixed = rows.groupBy("a", "s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("a", "s")
+    open_ = rows.join(mixed, ["a", "s"])
+    x, y = (open_.select(F.col("a").alias("hub"), "s", F.col("b").alias(k), F.col("comp").alias(f"c{k}"),
+                         F.col("n").alias(f"n{k}")) for k in "ab")
+    fits = F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb") - F.lit(1e-9)
+    across = (x.join(y, ["hub", "s"]).where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits)
+              .select("a", "b").distinct())
+    more = with_sequences(across).mapInArrow(_pair_batches(similarity), f"a {kind}, b {kind}")
     final = connected_components(links.union(more))
     classes = nodes.select(*content, "node").join(final, "node", "left").select(
         *content, F.coalesce("comp", "node").alias("class"))

@@ -95,11 +95,29 @@ def test_alignment_equals_edit_distance():
         for band in (1, 8, 64):
             d = near_dedup.aligned_distance([pair], band)[0]
             assert d == exact if exact <= band else d > band
-        assert near_dedup.alike([pair], 0.8)[0] == (exact <= 0.2 * max(len(a), len(b)) + 1e-9)
+        common = sum(min(a.count(x), b.count(x)) for x in set(a))
+        assert near_dedup.alike([pair], [common], 0.8)[0] == (exact <= 0.2 * max(len(a), len(b)) + 1e-9)
 
 
-def test_near_dedup_equals_all_pairs(spark):
-    texts = made_documents()
+def truncated_documents(seed=8):
+    """Copies cut off ever earlier, and copies of changed copies: linked in chains, not all to one text."""
+    rng = random.Random(seed)
+    out = []
+    for f in range(6):
+        base = [f"v{rng.randrange(400)}" for _ in range(100)]
+        out += [" ".join(base[:100 - 9 * k]) for k in range(7)]
+        copy = list(base)
+        for _ in range(6):
+            for at in rng.sample(range(100), 2):
+                copy[at] = f"n{rng.randrange(400)}"
+            out.append(" ".join(copy))
+    rng.shuffle(out)
+    return out
+
+
+@pytest.mark.parametrize("make", [made_documents, truncated_documents])
+def test_near_dedup_equals_all_pairs(spark, make):
+    texts = make()
     seqs = [shingles_of(words_of(t)) for t in texts]
     comp = list(range(len(texts)))
     linked = [(a, b) for a in range(len(texts)) for b in range(a)
