@@ -8,7 +8,6 @@ join. Sub-packages:
 - ``functions`` column expressions (parsers, dates, labels, score arithmetic)
 - ``operators`` cleaning, statistics, features, similarity, ALS, recommendations
 - ``plans``     the query catalogue used by ``__spark_entry__`` and its SQL oracle
-- ``streaming`` (the reference has no streaming workload; see its docstring)
 """
 
 __version__ = "0.1.0"

@@ -10,20 +10,16 @@ from pyspark.sql import SparkSession
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and written intermediates.
+    """Shared folder for checkpoints and written intermediates: ``spark.checkpoint.dir``.
 
-    On a cluster this is ``spark.checkpoint.dir`` (a shared file system path).
-    Only when it is unset do we pick a folder of our own: a temporary folder for a
-    local master (tests), the warehouse location otherwise.
+    Only a local master (tests, bench) gets a temporary folder if it is unset; a cluster
+    must name a folder that all hosts share.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if spark.sparkContext.master.startswith("local"):
-            root = tempfile.mkdtemp(prefix="revue-ckpt-")
-        else:
-            # Never a machine-local folder on a cluster: fall back to the warehouse
-            # location, which a cluster keeps on shared storage.
-            root = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_revue_checkpoints"
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        root = tempfile.mkdtemp(prefix="revue-ckpt-")
         spark.conf.set("spark.checkpoint.dir", root)
     sc = spark.sparkContext
     if sc.getCheckpointDir() is None:
@@ -31,6 +27,12 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def remove_scratch(spark: SparkSession) -> None:
+    """Delete what this library has written below the scratch root (also other sessions' tables)."""
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/revue")
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path below the shared scratch root."""
     return f"{scratch_root(spark)}/revue/{name}-{uuid.uuid4().hex[:12]}"

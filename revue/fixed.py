@@ -19,15 +19,11 @@ MEDIAN_QUANTILE = 0.5
 # Statistics and dashboard lists.
 POPULAR_MIN_REVIEWS = 10
 TOP_K = 10
-HISTORY_LIMIT = 1000
-EXPORT_ROWS = 10_000
 SAMPLE_FRACTION = 0.5
-SAMPLE_ABOVE_ROWS = 100_000
 SEED = 42
 HISTOGRAM_BINS = {"price": 50, "helpful_votes": 30, "residual": 50}
 
 # Title features and similarity.
-VOCAB_SIZE = 1000
 MIN_DF = 2
 MIN_SIMILARITY = 0.1
 SIMILAR_K = 10
@@ -38,5 +34,6 @@ LSH_MAX_DISTANCE = 2.0
 # Recommendation scores.
 NEUTRAL_RATING = 3.0              # preference weight = (rating - 3) / 2
 RATING_HALF_RANGE = 2.0
+FRACTION_SCALE = 5.0              # the served model reads 'a/b' as a share of five stars
 ALS_WEIGHT = 0.7
 CONTENT_WEIGHT = 0.3

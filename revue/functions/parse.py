@@ -69,12 +69,17 @@ def tokenize(text: str | Column) -> Column:
         F.split(stripped, r"\s", -1))
 
 
+# First and last day of the years 1 to 9999, in days from 1970-01-01.
+EPOCH_DAYS = (-719162, 2932896)
+
+
 def epoch_to_date(epoch_seconds: str | Column) -> Column:
-    """Epoch seconds -> 'dd/MM/yyyy' (UTC calendar day); null or 0 -> 'N/A'."""
+    """Epoch seconds -> 'dd/MM/yyyy' (UTC calendar day); null, 0 or a day outside the years 1 to 9999 -> 'N/A'."""
     t = _c(epoch_seconds)
-    day = F.date_add(F.lit("1970-01-01").cast("date"), F.floor(t / 86400).cast("int"))
-    return F.when(t.isNull() | (t == 0), F.lit("N/A")).otherwise(
-        F.coalesce(F.date_format(day, "dd/MM/yyyy"), F.lit("N/A")))
+    number = F.floor(t / 86400)
+    known = t.isNotNull() & (t != 0) & number.between(*EPOCH_DAYS)
+    day = F.date_add(F.lit("1970-01-01").cast("date"), F.when(known, number).cast("int"))
+    return F.coalesce(F.when(known, F.date_format(day, "dd/MM/yyyy")), F.lit("N/A"))
 
 
 def label(name: str | Column, key: str | Column) -> Column:

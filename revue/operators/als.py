@@ -8,6 +8,8 @@ positions, and recommendations map back to ids with joins.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -37,23 +39,34 @@ class Indexed:
                                .join(self.items.select(item_col, "item_index"), item_col))
 
 
-def hash_split_flag(user: str = "user_id", item: str = "product_id", train_pct: int = 80) -> F.Column:
-    """Stable split: md5 bucket of the key pair, the same under any partitioning."""
+def hash_bucket(user: str = "user_id", item: str = "product_id") -> F.Column:
+    """0 to 99 by the md5 of the key pair, the same under any partitioning."""
     h = F.conv(F.substring(F.md5(F.concat(F.col(user), F.lit("#"), F.col(item))), 1, 8), 16, 10)
-    return h.cast("long") % 100 < train_pct
+    return h.cast("long") % 100
+
+
+def hash_split_flag(user: str = "user_id", item: str = "product_id", train_pct: int = 80) -> F.Column:
+    """Stable split: whether the md5 bucket of the key pair is a training one."""
+    return hash_bucket(user, item) < train_pct
 
 
 def fit(ratings: DataFrame, rank: int = 10, maxIter: int = 5, regParam: float = 0.01,
         nonnegative: bool = True, implicitPrefs: bool = False, alpha: float = 1.0, seed: int = 42,
-        checkpointInterval: int = 10):
-    """ALS on (user_index, item_index, rating); cold-start rows are dropped at predict time."""
+        checkpointInterval: int = 10, blocks: int | None = None):
+    """ALS on (user_index, item_index, rating); cold-start rows are dropped at predict time.
+
+    ``blocks`` is the number of user and of item blocks, hence of tasks that hold the
+    factors; by default the number of shuffle partitions, which a cluster sizes by its data.
+    """
     from pyspark.ml.recommendation import ALS
     from revue.conf import scratch_root
     scratch_root(ratings.sparkSession)  # ALS checkpoints its factor lineage here
+    blocks = blocks or int(ratings.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     als = ALS(rank=rank, maxIter=maxIter, regParam=regParam, nonnegative=nonnegative,
               implicitPrefs=implicitPrefs, alpha=alpha, seed=seed, userCol="user_index",
               itemCol="item_index", ratingCol="rating", coldStartStrategy="drop",
-              checkpointInterval=checkpointInterval)
+              checkpointInterval=checkpointInterval,
+              numUserBlocks=blocks, numItemBlocks=blocks)
     return als.fit(ratings)
 
 
@@ -101,49 +114,51 @@ def load(path: str):
     return ALSModel.load(path)
 
 
-def _search(train: DataFrame, valid: DataFrame, grid: dict, seed: int):
+def grid_settings(grid: dict[str, list]) -> list[dict]:
+    """Every combination of the grid's values, as keyword arguments of ``fit``."""
+    return [dict(zip(grid, values, strict=True)) for values in itertools.product(*grid.values())]
+
+
+def _scored(setting: dict, train: DataFrame, valid: DataFrame, seed: int) -> tuple:
+    """(rank, reg_param, max_iter, rmse, n_valid, error) of one setting; a failure is told, not hidden."""
     from revue.operators.evaluate import error_metrics
-    rows, best = [], (float("inf"), None, None)
-    for r in grid["rank"]:
-        for reg in grid["regParam"]:
-            for it in grid["maxIter"]:
-                try:
-                    m = fit(train, rank=r, maxIter=it, regParam=reg, seed=seed)
-                    met = error_metrics(predict(m, valid)).first()
-                except Exception:  # noqa: BLE001 - a failing setting is skipped, as in the reference
-                    continue
-                if met is None or met["n"] == 0:
-                    continue
-                rows.append((r, float(reg), it, float(met["rmse"]), int(met["n"])))
-                if met["rmse"] < best[0]:
-                    best = (float(met["rmse"]), m, (r, float(reg), it))
-    return rows, best
+    head = setting["rank"], float(setting["regParam"]), setting["maxIter"]
+    try:
+        got = error_metrics(predict(fit(train, seed=seed, **setting), valid)).first()
+    except Exception as failure:  # noqa: BLE001 - the row says why
+        return *head, None, None, f"{type(failure).__name__}: {failure}"[:500]
+    return *head, got["rmse"], got["n"], None
+
+
+GRID_SCHEMA = "rank int, reg_param double, max_iter int, rmse double, n_valid long, error string"
 
 
 def grid_search(train: DataFrame, valid: DataFrame, grid: dict | None = None, seed: int = 42) -> DataFrame:
-    """One row per setting (rank, reg_param, max_iter, rmse, n_valid); failing fits are skipped.
+    """One row per setting (rank, reg_param, max_iter, rmse, n_valid, error), failing ones with their error.
 
-    Each fit is a distributed job; the loop runs over the (small) parameter grid.
+    Each fit is a distributed job; the loop runs over the (small) parameter grid. ``train`` and
+    ``valid`` are read once per setting: pass materialised tables.
     """
-    rows, _ = _search(train, valid, grid or FULL_GRID, seed)
-    return train.sparkSession.createDataFrame(
-        rows, "rank int, reg_param double, max_iter int, rmse double, n_valid long")
+    rows = [_scored(s, train, valid, seed) for s in grid_settings(grid or FULL_GRID)]
+    return train.sparkSession.createDataFrame(rows, GRID_SCHEMA)
 
 
 def tune(train: DataFrame, valid: DataFrame, test: DataFrame, grid: dict | None = None, seed: int = 42,
          save_path: str | None = None) -> DataFrame:
-    """Grid search on (train, valid), then the best setting's RMSE / MAE on test; saves the best model.
+    """Grid search on (train, valid), then the best setting's RMSE / MAE on test, by the stored model if it is saved.
 
-    One row: rank, reg_param, max_iter, valid_rmse, test_rmse, test_mae, n_test.
+    One row: rank, reg_param, max_iter, valid_rmse, test_rmse, test_mae, n_test; none if no setting could be scored.
     """
     from revue.operators.evaluate import error_metrics
-    _, (vr, model, params) = _search(train, valid, grid or FULL_GRID, seed)
+    best = (grid_search(train, valid, grid, seed).where("n_valid > 0")
+            .orderBy("rmse", "rank", "reg_param", "max_iter").first())
     schema = ("rank int, reg_param double, max_iter int, valid_rmse double, test_rmse double, "
               "test_mae double, n_test long")
-    if model is None:
+    if best is None:
         return train.sparkSession.createDataFrame([], schema)
+    model = fit(train, seed=seed, rank=best["rank"], regParam=best["reg_param"], maxIter=best["max_iter"])
     if save_path:
-        save(model, save_path)
+        model = load(save(model, save_path))
     t = error_metrics(predict(model, test)).first()
     return train.sparkSession.createDataFrame(
-        [(params[0], params[1], params[2], vr, float(t["rmse"]), float(t["mae"]), int(t["n"]))], schema)
+        [(best["rank"], best["reg_param"], best["max_iter"], best["rmse"], t["rmse"], t["mae"], t["n"])], schema)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revue.fixed import SAMPLE_ABOVE_ROWS, SAMPLE_FRACTION, SEED
-from revue.operators.als import hash_split_flag
+from revue.fixed import SEED
+from revue.operators.als import hash_bucket, hash_split_flag
 
 
 def hash_split(df: DataFrame, train_pct: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -38,12 +38,18 @@ def residuals(pred: DataFrame) -> DataFrame:
     return pred.withColumn("residual", F.col("rating") - F.col("prediction"))
 
 
-def sample_reviews(df: DataFrame, fraction: float = SAMPLE_FRACTION, above: int = SAMPLE_ABOVE_ROWS,
-                   seed: int = SEED) -> DataFrame:
-    """Bernoulli sample of ``fraction`` when the table has more than ``above`` rows, else all.
+def sample_reviews(df: DataFrame, fraction: float, seed: int = SEED) -> DataFrame:
+    """Sample of about ``fraction`` of the rows: those whose md5 bucket of (user_id, product_id, seed) is low.
 
-    The row count enters as a scalar subquery, so the decision stays in the plan.
+    The caller names the fraction; the draw does not depend on the number of rows or on partitioning.
     """
-    n = df.agg(F.count(F.lit(1))).scalar()
-    keep = F.when(n > F.lit(above), F.lit(fraction)).otherwise(F.lit(1.0))
-    return df.where(F.rand(seed) < keep)
+    key = F.concat_ws("#", "user_id", "product_id", F.lit(str(seed)))
+    bucket = F.conv(F.substring(F.md5(key), 1, 8), 16, 10).cast("long") % 10_000
+    return df.where(bucket < int(fraction * 10_000))
+
+
+def three_way_split(df: DataFrame, train_pct: int = 60, valid_pct: int = 20) -> list[DataFrame]:
+    """Deterministic (train, validation, test) on md5(user_id#product_id); stable under repartition."""
+    bucket = hash_bucket()
+    return [df.where(bucket < train_pct), df.where((bucket >= train_pct) & (bucket < train_pct + valid_pct)),
+            df.where(bucket >= train_pct + valid_pct)]

@@ -3,8 +3,8 @@
 Equivalent to the ML pipeline Tokenizer -> StopWordsRemover ->
 CountVectorizer(vocabSize, minDF) -> IDF -> MinMaxScaler(price), but computed on
 *distinct* cleaned titles weighted by how many products carry them, so the text
-work scales with the number of distinct titles, not products. The vocabulary is
-at most ``vocab_size`` rows, which bounds every broadcast below.
+work scales with the number of distinct titles, not products. Every term that meets
+``min_df`` counts, unless the caller asks for the top ``vocab_size`` only.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from revue.fixed import MIN_DF, VOCAB_SIZE
+from revue.fixed import MIN_DF
 from revue.functions.parse import normalise_title, tokenize
 
 
@@ -28,11 +28,16 @@ def clean_titles(catalog: DataFrame) -> DataFrame:
                    .where(F.length("cleaned_title") > 0))
 
 
+def title_tokens(title, stop_words: list[str]):
+    """Tokens of a cleaned title without stop words, as an array column."""
+    stop = F.array(*[F.lit(w) for w in stop_words]) if stop_words else F.array().cast("array<string>")
+    return F.filter(tokenize(title), lambda t: ~F.array_contains(stop, t))
+
+
 def title_terms(docs: DataFrame, stop_words: list[str]) -> DataFrame:
     """(cleaned_title, n_docs, term, tf) over distinct titles, stop words removed."""
     per_title = docs.groupBy("cleaned_title").agg(F.count(F.lit(1)).alias("n_docs"))
-    stop = F.array(*[F.lit(w) for w in stop_words]) if stop_words else F.array().cast("array<string>")
-    toks = F.filter(tokenize("cleaned_title"), lambda t: ~F.array_contains(stop, t))
+    toks = title_tokens("cleaned_title", stop_words)
     return (per_title.select("cleaned_title", "n_docs", F.explode(toks).alias("term"))
                      .groupBy("cleaned_title", "n_docs", "term")
                      .agg(F.count(F.lit(1)).alias("tf")))
@@ -45,15 +50,17 @@ def term_frequency(terms: DataFrame) -> DataFrame:
         F.sum(F.col("n_docs") * F.col("tf")).cast("long").alias("total_count"))
 
 
-def vocabulary(terms: DataFrame, n_docs, vocab_size: int = VOCAB_SIZE, min_df: float = MIN_DF) -> DataFrame:
-    """Top ``vocab_size`` terms by total count among terms in >= min_df documents, with IDF.
+def vocabulary(terms: DataFrame, n_docs, vocab_size: int | None = None, min_df: float = MIN_DF) -> DataFrame:
+    """Terms in >= min_df documents (of them the top ``vocab_size`` by total count, if given), with IDF.
 
     ``min_df`` below 1.0 is a fraction of documents, as in CountVectorizer.
     IDF = ln((N + 1) / (df + 1)). Count ties at the cut are broken by term.
     """
     tf = term_frequency(terms)
     thresh = F.lit(float(min_df)) if min_df >= 1 else F.lit(float(min_df)) * n_docs
-    top = tf.where(F.col("doc_freq") >= thresh).orderBy(F.desc("total_count"), "term").limit(vocab_size)
+    top = tf.where(F.col("doc_freq") >= thresh)
+    if vocab_size is not None:
+        top = top.orderBy(F.desc("total_count"), "term").limit(vocab_size)
     return top.withColumn("idf", F.log((n_docs + F.lit(1.0)) / (F.col("doc_freq") + F.lit(1.0))))
 
 
@@ -68,7 +75,7 @@ def scaled_price(docs: DataFrame) -> DataFrame:
 class TitleFeatures:
     """Relational TF-IDF features of a product catalog (one row per product)."""
 
-    def __init__(self, catalog: DataFrame, vocab_size: int = VOCAB_SIZE, min_df: float = MIN_DF,
+    def __init__(self, catalog: DataFrame, vocab_size: int | None = None, min_df: float = MIN_DF,
                  materialize: bool = False):
         """``materialize`` checkpoints the per-product documents and the title
         vectors (to the shared checkpoint folder): several later steps and
@@ -84,8 +91,8 @@ class TitleFeatures:
         self.terms = title_terms(self.docs, english_stop_words(spark))
         self.n_docs = self.docs.agg(F.count(F.lit(1)).cast("double")).scalar()
         self.vocab = vocabulary(self.terms, self.n_docs, vocab_size, min_df)
-        # (cleaned_title, term, tf, idf, weight); vocab is bounded by vocab_size rows.
-        self.vectors = (self.terms.join(F.broadcast(self.vocab.select("term", "idf")), "term")
+        # (cleaned_title, term, tf, idf, weight).
+        self.vectors = (self.terms.join(self.vocab.select("term", "idf"), "term")
                         .select("cleaned_title", "term", "tf", "idf",
                                 (F.col("tf") * F.col("idf")).alias("weight")))
         if materialize:

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from revue.fixed import HISTORY_LIMIT, POPULAR_MIN_REVIEWS, TOP_K
+from revue.fixed import POPULAR_MIN_REVIEWS, TOP_K
 from revue.functions.parse import epoch_to_date, label
 from revue.operators import topk
 
@@ -40,25 +40,24 @@ def top_products(reviews: DataFrame, k: int = TOP_K) -> DataFrame:
 
 
 def similar_by_rating(reviews: DataFrame, k: int = TOP_K) -> DataFrame:
-    """The dashboard's "similar products": the best-rated products other than the selected one.
+    """The dashboard's "similar products": the best-rated (product, title) rows of products other than the selected one.
 
-    Answer for every product at once, without pairing products: a product outside
-    the global top-k gets the top-k (``excluded_id`` null); a product inside it gets
-    the top-(k+1) minus itself. Output has k + k*k rows whatever the data size.
+    Answer for every product at once, without pairing products: one without a row in the
+    global top k gets that top k (``excluded_id`` null); one with a row there gets the top k of
+    the rows of other products. A product has at most k rows that matter, so the best 2k of
+    the rows cut to k a product are enough, whatever the data size.
     """
     order = [F.desc("avg_rating"), "product_id", "title"]
-    top = topk.global_(product_ratings(reviews), order, k + 1, rank_col="pos")
+    capped = topk.per_key(product_ratings(reviews), ["product_id"], order, k, rank_col="own").drop("own")
+    top = topk.global_(capped, order, 2 * k, rank_col="pos")
     general = top.where(F.col("pos") <= k).select(
         F.lit(None).cast("string").alias("excluded_id"), "product_id", "title",
         "review_count", "avg_rating", F.col("pos").alias("rank"))
-    # Exclusion rows: top (k+1) x top k, both bounded by k+1 rows (a constant, not data).
-    ex = top.where(F.col("pos") <= k).select(F.col("product_id").alias("excluded_id"),
-                                               F.col("pos").alias("ex_pos"))
-    special = (F.broadcast(ex).join(top, F.col("excluded_id") != F.col("product_id"))
-                .withColumn("rank", F.col("pos") - F.when(F.col("pos") > F.col("ex_pos"), 1).otherwise(0))
-                .where(F.col("rank") <= k)
-                .select("excluded_id", "product_id", "title", "review_count", "avg_rating", "rank"))
-    return general.unionByName(special)
+    # At most k products x 2k rows, a constant.
+    ex = top.where(F.col("pos") <= k).select(F.col("product_id").alias("excluded_id")).distinct()
+    others = F.broadcast(ex).join(top, F.col("excluded_id") != F.col("product_id"))
+    special = topk.per_key(others, ["excluded_id"], ["pos"], k)
+    return general.unionByName(special.select("excluded_id", "product_id", "title", "review_count", "avg_rating", "rank"))
 
 
 def _key_stats(reviews: DataFrame, key: str) -> DataFrame:
@@ -79,7 +78,7 @@ def product_stats(reviews: DataFrame) -> DataFrame:
     return _key_stats(reviews, "product_id")
 
 
-def _latest(reviews: DataFrame, key: str, cols: list[str], limit: int) -> DataFrame:
+def _latest(reviews: DataFrame, key: str, cols: list[str], limit: int | None) -> DataFrame:
     # Ordering by every output column makes the kept multiset deterministic.
     order = [F.desc("review_time")] + [F.asc_nulls_last(c) for c in cols if c != "review_time"]
     out = topk.per_key(reviews.select(key, *[c for c in cols if c != key]), [key], order, limit,
@@ -91,13 +90,13 @@ HISTORY_COLS = ["product_id", "title", "rating", "helpful_votes", "review_summar
 DETAIL_COLS = ["user_name", "rating", "helpful_votes", "review_summary", "review_text", "review_time"]
 
 
-def user_history(reviews: DataFrame, limit: int = HISTORY_LIMIT) -> DataFrame:
-    """Each user's newest ``limit`` reviews with a date column."""
+def user_history(reviews: DataFrame, limit: int | None = None) -> DataFrame:
+    """Each user's reviews, newest first (at most ``limit`` if given), with a date column."""
     return _latest(reviews, "user_id", HISTORY_COLS, limit)
 
 
-def product_reviews(reviews: DataFrame, limit: int = HISTORY_LIMIT) -> DataFrame:
-    """Each product's newest ``limit`` reviews with a date column."""
+def product_reviews(reviews: DataFrame, limit: int | None = None) -> DataFrame:
+    """Each product's reviews, newest first (at most ``limit`` if given), with a date column."""
     return _latest(reviews, "product_id", DETAIL_COLS, limit)
 
 
@@ -151,9 +150,9 @@ def profile_columns(df: DataFrame) -> DataFrame:
         aggs.append(F.sum(F.col(f"`{c}`").isNull().cast("long")).alias(f"n_{len(aggs)}"))
     wide = df.agg(*aggs)
     types = dict(df.dtypes)
-    pairs = ", ".join(f"'{c}', '{types[c]}', n_{i + 1}" for i, c in enumerate(df.columns))
-    return wide.selectExpr(f"stack({len(df.columns)}, {pairs}) as (column_name, data_type, null_count)",
-                           "__rows as row_count").select(
+    per_column = [F.struct(F.lit(c).alias("column_name"), F.lit(types[c]).alias("data_type"),
+                           F.col(f"n_{i + 1}").alias("null_count")) for i, c in enumerate(df.columns)]
+    return wide.select(F.col("__rows").alias("row_count"), F.inline(F.array(*per_column))).select(
         "column_name", "data_type", F.col("row_count").cast("long"), F.col("null_count").cast("long"))
 
 

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from revue.fixed import HISTOGRAM_BINS
+from revue.fixed import FRACTION_SCALE, HISTOGRAM_BINS, SAMPLE_FRACTION
 from revue.operators import clean as C
 from revue.operators import stats as S
 from revue.plans import oracle as O
@@ -86,11 +86,11 @@ def q_load_guard(spark, sf):
     return tables["reviews"]
 
 
-@query("export_sample", O.with_clean(
-    f"select {CLEAN_COLS} from clean order by "
-    + ", ".join(f"{c} nulls first" for c in C.CLEAN_COLUMNS) + " limit 10000"))
+@query("export_sample", O.with_clean(f"select {CLEAN_COLS} from clean"))
 def q_export_sample(spark, sf):
-    return io.export_sample(clean(spark, sf), 10_000)
+    """The whole cleaned table through its CSV export."""
+    from revue.conf import scratch_path
+    return io.export_table(spark, clean(spark, sf), scratch_path(spark, "export"))
 
 
 # ---------------------------------------------------------------- cleaning
@@ -163,15 +163,12 @@ def q_top_products(spark, sf):
 
 
 @query("similar_by_rating", O.with_clean(f""", pr as ({PR}),
- t as (select *, cast(row_number() over (order by avg_rating desc, product_id, title) as int) as pos from pr
-       order by avg_rating desc, product_id, title limit 11)
-select cast(null as varchar) as excluded_id, product_id, title, review_count, avg_rating, pos as rank
- from t where pos <= 10
-union all
-select e.product_id as excluded_id, t.product_id, t.title, t.review_count, t.avg_rating,
-  t.pos - case when t.pos > e.pos then 1 else 0 end as rank
- from t e join t on e.product_id <> t.product_id
- where e.pos <= 10 and t.pos - case when t.pos > e.pos then 1 else 0 end <= 10"""))
+ best as (select * from pr order by avg_rating desc, product_id, title limit 10),
+ e as (select cast(null as varchar) as excluded_id union all select distinct product_id from best),
+ a as (select excluded_id, pr.*, cast(row_number() over (partition by excluded_id
+        order by avg_rating desc, product_id, title) as int) as rank
+       from e join pr on excluded_id is null or product_id <> excluded_id)
+select * from a where rank <= 10"""))
 def q_similar_by_rating(spark, sf):
     return S.similar_by_rating(clean(spark, sf))
 
@@ -198,8 +195,7 @@ def _latest_sql(key: str, cols: list[str]) -> str:
     sel = ", ".join(cols)
     return O.with_clean(
         f"select {key}, {sel}, cast(rn as int) as rn, {O.date_expr('review_time')} as date from ("
-        f"select {key}, {sel}, row_number() over (partition by {key} order by {order}) as rn from clean) q "
-        f"where rn <= 1000")
+        f"select {key}, {sel}, row_number() over (partition by {key} order by {order}) as rn from clean) q")
 
 
 @query("user_history", _latest_sql("user_id", S.HISTORY_COLS))
@@ -328,6 +324,11 @@ SIM_CTES = CATALOG_CTE + """,
   from dot join nr x1 on p1 = x1.product_id join nr x2 on p2 = x2.product_id
   join c c1 on p1 = c1.product_id join c c2 on p2 = c2.product_id)"""
 
+SIMTOP_CTE = SIM_CTES + """,
+ rn as (select *, row_number() over (partition by p1 order by sim desc, dp, lft,
+   case when not lft then p2 end asc nulls last, case when lft then p2 end desc nulls last) as rn from sim where sim > 0.1),
+ simitems as (select p1 as product1, p2 as product2, sim as similarity, rn from rn where rn <= 10)"""
+
 SIMITEMS_CTE = SIM_CTES + """,
  rk as (select *, rank() over (partition by p1 order by sim desc) as rk from sim where sim > 0.1),
  simitems as (select p1 as product1, p2 as product2, sim as similarity, rk from rk where rk <= 10)"""
@@ -377,9 +378,8 @@ def q_similar_items(spark, sf):
     return sims(spark, sf)
 
 
-@query("similar_items_top", O.with_clean(SIM_CTES + """,
- rn as (select *, row_number() over (partition by p1 order by sim desc, dp, lft, case when not lft then p2 end asc nulls last, case when lft then p2 end desc nulls last) as rn from sim where sim > 0.1)
-select p1 as product1, p2 as product2, sim as similarity, cast(rn as int) as rank from rn where rn <= 10"""))
+@query("similar_items_top", O.with_clean(
+    SIMTOP_CTE + " select product1, product2, similarity, cast(rn as int) as rank from simitems"))
 def q_similar_items_top(spark, sf):
     return sims(spark, sf, "row_number")
 
@@ -395,19 +395,19 @@ from revue.operators import als as ALS  # noqa: E402
 from revue.operators import evaluate as EV  # noqa: E402
 from revue.operators import recommend as R  # noqa: E402
 
-CONTENT_CTES = SIMITEMS_CTE + """,
+CONTENT_CTES = SIMTOP_CTE + """,
  seen as (select distinct user_id, product_id from clean),
  cand as (select l.user_id, s.product2 as product_id,
-   sum(cast(round(s.similarity * 1000000) as bigint) * cast(round((l.rating - 3) * 10) as bigint)) as sc
+   round(sum(s.similarity * ((l.rating - 3.0::double) / 2.0::double)), 9) as total_score
   from clean l join simitems s on l.product_id = s.product1
   where not exists (select 1 from seen k where k.user_id = l.user_id and k.product_id = s.product2) group by 1, 2),
- cr as (select user_id, product_id, cast(sc as double) / 20000000.0 as total_score from cand),
+ cr as (select user_id, product_id, total_score from cand),
  crk as (select *, cast(row_number() over (partition by user_id order by total_score desc, product_id) as int) as rank from cr)"""
 
 
 def sims(spark, sf, ties: str = "rank"):
-    """The similar-item table (reference parameters): a stage table. Both tie modes
-    share one similarity index (features, classes, positions) per session."""
+    """The similar-item table: a stage table. Both tie modes share one similarity index
+    (features, classes, positions) per session; recommendations use "row_number", k rows a product."""
     from revue.plans.stages import shared
     index = shared(spark, sf, FACT_TABLES, "simindex", (0.1,),
                    lambda: SIM.SimilarityIndex(catalog(spark, sf)), table=False)
@@ -418,11 +418,11 @@ def content_top(spark, sf, n: int = 20):
     """Top-n content recommendations per user (n = 2 x 10, what the hybrid pulls): a stage table."""
     from revue.plans.stages import shared
     return shared(spark, sf, FACT_TABLES, "content-top", (n,),
-                  lambda: R.content_recommendations(clean(spark, sf), sims(spark, sf), n))
+                  lambda: R.content_recommendations(clean(spark, sf), sims(spark, sf, "row_number"), n))
 
 
 def content_recs(spark, sf, n: int = 10):
-    return content_top(spark, sf).where(F.col("rank") <= n)
+    return content_top(spark, sf, max(n, 20)).where(F.col("rank") <= n)
 
 
 @query("content_recs", O.with_clean(
@@ -433,7 +433,7 @@ def q_content_recs(spark, sf):
 
 @query("unseen_candidates", O.with_clean(CONTENT_CTES + " select user_id, product_id, total_score from cr"))
 def q_unseen_candidates(spark, sf):
-    return R.content_candidates(clean(spark, sf), sims(spark, sf))
+    return R.content_candidates(clean(spark, sf), sims(spark, sf, "row_number"))
 
 
 @query("recs_with_catalog", O.with_clean(
@@ -450,9 +450,9 @@ def q_recs_with_catalog(spark, sf):
     CONTENT_CTES + " select crk.user_id, crk.product_id, catalog.title, catalog.price, crk.total_score, crk.rank "
     "from crk join catalog on crk.product_id = catalog.product_id where rank <= 10"))
 def q_join_small_dim(spark, sf):
-    c = clean(spark, sf)
-    recs = content_recs(spark, sf, 10)
-    return R.join_small_dim(recs, C.catalog_lookup(c), "product_id").select(
+    """A small dimension joined without a hint: the byte threshold and AQE choose the strategy."""
+    dim = C.catalog_lookup(clean(spark, sf))
+    return content_recs(spark, sf, 10).join(dim, "product_id").select(
         "user_id", "product_id", "title", "price", "total_score", "rank")
 
 
@@ -494,7 +494,7 @@ def latest_similars(reviews, simitems, m: int):
 select user_id, product_id, als_score, round(content_score, 9) as content_score, hybrid_score, rank from br where rank <= 10"""))
 def q_blend_scores(spark, sf):
     c = clean(spark, sf)
-    s = sims(spark, sf)
+    s = sims(spark, sf, "row_number")
     als_leg = latest_similars(c, s, 20)
     content_leg = content_top(spark, sf, 20)
     out = R.blend_scores(als_leg, content_leg, 10)
@@ -569,27 +569,68 @@ def q_residual_histogram(spark, sf):
                        HISTOGRAM_BINS["residual"])
 
 
-@query("sample_reviews")
+@query("sample_reviews", O.with_clean(
+    f"select {CLEAN_COLS} from clean where cast(concat('0x', substr(md5(concat(user_id, '#', product_id, '#42')), 1, 8)) "
+    "as bigint) % 10000 < 5000"))
 def q_sample_reviews(spark, sf):
-    return EV.sample_reviews(clean(spark, sf))
+    return EV.sample_reviews(clean(spark, sf), SAMPLE_FRACTION)
+
 
+# ---------------------------------------------------------------- ALS
 
-# ---------------------------------------------------------------- ALS (rows-only checks)
 
+def _ratings(spark, sf):
+    """Cleaned reviews for the served model: 'a/b' counts as a share of five stars."""
+    from revue.plans.stages import shared
+    return shared(spark, sf, FACT_TABLES, "ratings", (FRACTION_SCALE,),
+                  lambda: C.clean_reviews(C.parse_reviews(raw(spark, sf), FRACTION_SCALE)).select(
+                      "user_id", "product_id", "rating"))
+
+
+def _als_setup(spark, sf, params=None):
+    """Indexed ratings, md5 split and an ALS fit: a stage shared by the ALS queries.
 
-def _als_setup(spark, sf):
-    """Indexed ratings, md5 split and the batch ALS fit: a stage shared by the ALS queries."""
+    By default the served model: one rating scale, regularised; ``ALS.BATCH`` is the weaker named setting.
+    """
     from revue.plans.stages import materialize, shared
+    params = params or ALS.DASHBOARD
 
     def build():
         c = clean(spark, sf)
-        idx = ALS.Indexed(c)
+        idx = ALS.Indexed(_ratings(spark, sf))
         # The index tables already read from a checkpoint; the joined ratings feed every fit.
         idx.ratings = materialize(idx.ratings, "indexed-ratings")
         train, test = EV.hash_split(idx.ratings)
-        model = ALS.fit(train.select("user_index", "item_index", "rating"), **ALS.BATCH)
+        model = ALS.fit(train.select("user_index", "item_index", "rating"), **params)
         return c, idx, train, test, model
-    return shared(spark, sf, FACT_TABLES, "als", tuple(sorted(ALS.BATCH.items())), build, table=False)
+    return shared(spark, sf, FACT_TABLES, "als", tuple(sorted(params.items())), build, table=False)
+
+
+KNOWN_PAIRS = f"""
+, tr as (select * from clean where {SPLIT}), te as (select * from clean where not ({SPLIT})),
+ known as (select user_id, product_id from te where user_id in (select user_id from tr)
+           and product_id in (select product_id from tr))"""
+
+
+@query("als_prediction_keys", O.with_clean(KNOWN_PAIRS + " select user_id, product_id, count(*) as n from known group by 1, 2"))
+def q_als_prediction_keys(spark, sf):
+    """Every test pair whose user and product the model knows gets a finite prediction, no other."""
+    return q_als_predictions(spark, sf).groupBy("user_id", "product_id").agg(F.count("prediction").alias("n"))
+
+
+@query("als_rank_check", O.with_clean(f""", tr as (select * from clean where {SPLIT}),
+ items as (select count(distinct product_id) as n from tr)
+ select user_id, least(items.n, 10) as n_recs, true as ordered from (select distinct user_id from tr) u, items"""))
+def q_als_rank_check(spark, sf):
+    """Per known user: the number of recommendations, and whether ranks run from 1 with falling scores."""
+    from pyspark.sql import Window
+    _, idx, _, _, model = _als_setup(spark, sf)
+    earlier = Window.partitionBy("user_id").orderBy("rank")
+    recs = ALS.recommend_users(model, idx, 10)
+    step = ((F.row_number().over(earlier) == F.col("rank"))
+            & F.coalesce(F.lag("score").over(earlier) >= F.col("score"), F.lit(True)))
+    return (recs.withColumn("step", step).groupBy("user_id")
+            .agg(F.count(F.lit(1)).alias("n_recs"), F.every("step").alias("ordered")))
 
 
 @query("als_predictions")
@@ -604,6 +645,13 @@ def q_als_metrics(spark, sf):
     return EV.error_metrics(ALS.predict(model, test))
 
 
+@query("als_metrics_batch")
+def q_als_metrics_batch(spark, sf):
+    """The batch job's setting (rank 10, 5 iterations, reg 0.01) on the same ratings."""
+    _, _, _, test, model = _als_setup(spark, sf, ALS.BATCH)
+    return EV.error_metrics(ALS.predict(model, test))
+
+
 @query("als_user_recs")
 def q_als_user_recs(spark, sf):
     _, idx, _, _, model = _als_setup(spark, sf)
@@ -618,25 +666,47 @@ def q_als_item_recs(spark, sf):
 
 @query("als_subset_recs")
 def q_als_subset_recs(spark, sf):
-    _, idx, _, _, model = _als_setup(spark, sf)
-    asked = raw(spark, sf).select("user_id").distinct()
-    return ALS.recommend_users(model, idx, 10, users=asked)
+    """Recommendations with title and price for a given set of users, known and unknown ones."""
+    c, idx, _, _, model = _als_setup(spark, sf)
+    asked = raw(spark, sf).select("user_id").where(F.col("user_id").endswith("7")).distinct()
+    recs = ALS.recommend_users(model, idx, 10, users=asked)
+    return R.attach_catalog(recs, C.catalog_lookup(c)).select("user_id", "product_id", "title", "price", "score", "rank")
 
 
-@query("als_save_load")
+@query("als_save_load", O.with_clean(KNOWN_PAIRS + " select count(*) as n, 0::bigint as mismatches from known"))
 def q_als_save_load(spark, sf):
+    """A saved and reloaded model predicts as the fitted one: pairs and differing predictions."""
     from revue.conf import scratch_path
     _, idx, _, test, model = _als_setup(spark, sf)
     back = ALS.load(ALS.save(model, scratch_path(spark, "als-model")))
-    return ALS.predict(back, test).select("user_id", "product_id", "rating", "prediction")
+    key = ["user_index", "item_index"]
+    old = ALS.predict(model, test).groupBy(*key).agg(F.count(F.lit(1)).alias("n"), F.max("prediction").alias("p"))
+    new = ALS.predict(back, test).groupBy(*key).agg(F.max("prediction").alias("q"))
+    return old.join(new, key, "full").agg(
+        F.sum("n").alias("n"), F.sum((~F.col("p").eqNullSafe(F.col("q"))).cast("long")).alias("mismatches"))
+
+
+def _grid(spark, sf):
+    """The grid search over materialised ratings: a stage shared by its queries."""
+    from revue.plans.stages import shared
+
+    def build():
+        _, _, train, valid, _ = _als_setup(spark, sf)
+        return ALS.grid_search(train.select("user_index", "item_index", "rating"), valid, ALS.FULL_GRID)
+    return shared(spark, sf, FACT_TABLES, "als-grid", (), build)
 
 
 @query("als_grid")
 def q_als_grid(spark, sf):
-    c = clean(spark, sf)
-    idx = ALS.Indexed(c)
-    train, valid = EV.hash_split(idx.ratings)
-    return ALS.grid_search(train.select("user_index", "item_index", "rating"), valid, ALS.FULL_GRID)
+    return _grid(spark, sf)
+
+
+@query("als_grid_settings", O.with_clean(KNOWN_PAIRS + """,
+ g as (select cast(unnest([10, 50, 100]) as int) as rank), h as (select unnest([0.01, 0.1, 1.0])::double as reg_param),
+ i as (select cast(unnest([5, 10]) as int) as max_iter)
+ select rank, reg_param, max_iter, (select count(*) from known) as n_valid, null::varchar as error from g, h, i"""))
+def q_als_grid_settings(spark, sf):
+    return _grid(spark, sf).select("rank", "reg_param", "max_iter", "n_valid", "error")
 
 
 @query("hybrid_recs")
@@ -658,24 +728,23 @@ def q_recs_or_popular(spark, sf):
     return R.with_fallback(everyone, personal, S.popular_products(c), 10)
 
 
-@query("random_split")
+@query("random_split", O.with_clean(
+    "select case when b < 60 then 'train' when b < 80 then 'validation' else 'test' end as split, count(*) as rows from "
+    "(select cast(concat('0x', substr(md5(concat(user_id, '#', product_id)), 1, 8)) as bigint) % 100 as b from clean) q group by 1"))
 def q_random_split(spark, sf):
-    parts = EV.random_split(clean(spark, sf), [0.6, 0.2, 0.2], 42)
-    names = ["train", "validation", "test"]
     out = None
-    for n, p in zip(names, parts):
+    for n, p in zip(["train", "validation", "test"], EV.three_way_split(clean(spark, sf)), strict=True):
         one = p.agg(F.count(F.lit(1)).alias("rows")).withColumn("split", F.lit(n))
         out = one if out is None else out.unionByName(one)
-    return out.select("split", "rows")
+    return out.select("split", "rows").where("rows > 0")
 
 
 @query("dashboard_recs")
 def q_dashboard_recs(spark, sf):
-    """The dashboard's ALS flow: valid ratings, 50% sample above 100,000 rows, dashboard
-    setting, 10 recommendations per user mapped back to id and title, score to 2 places."""
+    """The dashboard's ALS flow: all valid ratings, dashboard setting, 10 recommendations
+    per user mapped back to id and title, score to 2 places."""
     c = C.valid_ratings(clean(spark, sf))
-    sample = EV.sample_reviews(c.select("user_id", "product_id", "rating"))
-    idx = ALS.Indexed(sample)
+    idx = ALS.Indexed(c.select("user_id", "product_id", "rating"))
     model = ALS.fit(idx.ratings.select("user_index", "item_index", "rating"), **ALS.DASHBOARD)
     recs = ALS.recommend_users(model, idx, 10)
     titles = C.catalog_lookup(c).select("product_id", "title")
@@ -685,10 +754,33 @@ def q_dashboard_recs(spark, sf):
 
 @query("als_tuning")
 def q_als_tuning(spark, sf):
-    """The tuning script: 60/20/20 split (seed 42), grid on validation, best model on test, saved."""
+    """The tuning script: 60/20/20 split, grid on validation, the best model stored, reloaded and measured on test."""
     from revue.conf import scratch_path
-    c = clean(spark, sf)
-    idx = ALS.Indexed(c)
-    train, valid, test = EV.random_split(idx.ratings.select("user_index", "item_index", "rating"),
-                                         [0.6, 0.2, 0.2], 42)
+    _, idx, _, _, _ = _als_setup(spark, sf)
+    train, valid, test = (p.select("user_index", "item_index", "rating") for p in EV.three_way_split(idx.ratings))
     return ALS.tune(train, valid, test, ALS.FULL_GRID, save_path=scratch_path(spark, "best-als"))
+
+
+@query("popular_fallback", O.with_clean(f""", pop as (
+ select product_id, avg_rating as score, cast(row_number() over (order by avg_rating desc, product_id, title) as int) as rank
+ from ({PR}) p where review_count >= 10 order by avg_rating desc, product_id, title limit 10)
+ select u.user_id, pop.product_id, score, rank, 'popular' as source
+ from (select distinct user_id from raw where user_id not in (select user_id from clean where {SPLIT})) u, pop"""))
+def q_popular_fallback(spark, sf):
+    """The rows that ``recs_or_popular`` gives to users the model does not know."""
+    return q_recs_or_popular(spark, sf).where("source = 'popular'")
+
+
+@query("similar_items_nested", O.with_clean(SIMTOP_CTE + " select product1, product2, similarity from simitems"))
+def q_similar_items_nested(spark, sf):
+    """The stored form, one array per product, written, read and exploded."""
+    from revue.conf import scratch_path
+    path = io.write_parquet(SIM.nest_similar(sims(spark, sf, "row_number")), scratch_path(spark, "nested"))
+    return SIM.flatten_similar(io.read_parquet(spark, path))
+
+
+@query("search_products_regex", O.with_clean(
+    "select product_id, title, label from (select distinct product_id, title, "
+    "concat(title, ' (', product_id, ')') as label from clean) q where regexp_matches(label, '(?i)re[dg] .*\\(P1')"))
+def q_search_products_regex(spark, sf):
+    return S.search_labels(clean(spark, sf), "product_id", "title", r"re[dg] .*\(P1", regex=True)

@@ -14,7 +14,8 @@ RAW = """raw as (
        else cast(p_retailprice as varchar) end as raw_price,
   case when l_orderkey % 101 = 0 then 'bad'
        when l_orderkey % 103 = 0 then concat(cast(1 + (o_custkey + 2 * l_partkey) % 5 as varchar), '/0')
-       when l_linenumber = 7 then concat(cast(1 + (o_custkey + 2 * l_partkey) % 5 as varchar), '/5')
+       when l_linenumber = 7 then concat(cast(1 + (o_custkey + 2 * l_partkey) % [5, 3, 7][l_orderkey % 3 + 1] as varchar),
+                                         '/', cast([5, 3, 7][l_orderkey % 3 + 1] as varchar))
        else concat(cast(1 + (o_custkey + 2 * l_partkey) % 5 as varchar), '.0') end as raw_rating,
   case when l_linenumber = 6 then 'n/a' else concat(cast(cast(l_quantity as int) as varchar), '/50') end as helpfulness,
   cast(epoch(l_shipdate) as bigint) as review_time,

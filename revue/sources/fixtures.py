@@ -50,6 +50,9 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     pk, ok = F.col("l_partkey"), F.col("l_orderkey")
     price_txt = F.col("p_retailprice").cast("string")
     stars = (F.lit(1) + (F.col("o_custkey") + F.lit(2) * pk) % 5).cast("string")
+    parts = F.when(ok % 3 == 0, F.lit(5)).when(ok % 3 == 1, F.lit(3)).otherwise(F.lit(7))
+    share = F.concat((F.lit(1) + (F.col("o_custkey") + F.lit(2) * pk) % parts).cast("string"), F.lit("/"),
+                     parts.cast("string"))
     epoch = F.expr("cast(timestampdiff(SECOND, timestamp_ntz'1970-01-01 00:00:00', "
                    "cast(l_shipdate as timestamp_ntz)) as bigint)")
     return j.select(
@@ -65,7 +68,7 @@ def raw_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
          .otherwise(price_txt).alias("raw_price"),
         F.when(ok % 101 == 0, F.lit("bad"))
          .when(ok % 103 == 0, F.concat(stars, F.lit("/0")))
-         .when(F.col("l_linenumber") == 7, F.concat(stars, F.lit("/5")))
+         .when(F.col("l_linenumber") == 7, share)
          .otherwise(F.concat(stars, F.lit(".0"))).alias("raw_rating"),
         F.when(F.col("l_linenumber") == 6, F.lit("n/a"))
          .otherwise(F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit("/50")))

@@ -142,7 +142,7 @@ def test_similar_by_rating_excludes_self(spark):
 
 def test_required_columns(spark):
     df = spark.createDataFrame([(1,)], "a int")
-    with pytest.raises(ValueError, match="Missing required columns"):
+    with pytest.raises(ValueError, match="table lacks b"):
         io.require_columns(df, ["a", "b"])
 
 

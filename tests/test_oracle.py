@@ -6,7 +6,8 @@ from revue.oracle_check import compare, duck
 from revue.plans.catalog import ORACLE, QUERIES
 
 SF = "/root/testdata/sf0.001"
-FAST_ROWS_ONLY = ["sample_reviews", "als_metrics", "als_user_recs", "recs_or_popular", "lsh_similar_items"]
+FAST_ROWS_ONLY = ["als_predictions", "als_metrics", "als_user_recs", "als_item_recs", "als_subset_recs", "hybrid_recs",
+                  "recs_or_popular", "dashboard_recs", "lsh_similar_items"]
 
 
 @pytest.fixture(scope="module")

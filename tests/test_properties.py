@@ -88,7 +88,7 @@ def _plan(df):
 def test_per_key_topk_limits_before_shuffle(spark):
     from revue.plans import catalog as Q
     from revue.operators import stats as S
-    plan = _plan(S.user_history(Q.clean(spark, "/root/testdata/sf0.001")))
+    plan = _plan(S.user_history(Q.clean(spark, "/root/testdata/sf0.001"), 10))
     assert plan.count("WindowGroupLimit") >= 1
 
 
