@@ -15,12 +15,16 @@ of a bucket; all links within it are found in two steps:
 
 1. Its hub (the node that shares most keys with others, usually the text the others were
    copied from) is aligned with every other node: a star.
-2. Two nodes x, y of one hub that are still in different components can only be linked if they
-   have a shingle in common among a prefix of each, the first |y| - ceil(0.8 |y|) + 1 of y's
-   distinct labelled shingles in the order "not in the hub first, then by hash": with less in common,
-   too few of the 0.8 |y| common shingles a link needs would be left. A copy that was changed too
-   much to be linked to its hub has a prefix of its own new shingles, so it meets only
-   texts with the same changes. Such pairs are aligned too.
+2. Two nodes x, y of one hub that are still in different components are aligned only if a bound on
+   their common labelled shingles allows a link, which needs 0.8 of the longer one in common:
+   a. They share a new shingle (one that the hub lacks) among the first 0.2 |y| + 1 new ones of each, by
+      hash: a node with more new ones than that cannot be linked without.
+   b. Or they share none; then all they have in common the hub has too, so both have at least 0.8
+      of their shingles from the hub. Their kept shingles, counted in 64 hash classes, bound what
+      they have in common by the sum of the smaller counts. Only nodes that are not linked
+      to the hub look for such partners.
+   A copy that was changed too much to be linked to its hub has too many new shingles for b,
+   so it meets only texts with the same changes.
 
 Texts leave the documents only for nodes that share a key with another.
 """
@@ -39,6 +43,7 @@ from revue.llm import textops as T
 from revue.llm.components import connected_components
 
 WORDS, SKETCHES, PICKS, SIMILARITY = 5, 32, 3, 0.8
+CLASSES, SALTS = 64, 16
 _TOP = np.uint32(0xFFFFFFFF)
 
 
@@ -197,14 +202,18 @@ def _star_batches(similarity: float):
                 part = batch.slice(row, 500)
                 (hubs, hub_sets), (nodes, node_sets) = _columns(part, ("seq_a", "seq_b"))
                 news = [~np.isin(b, a, assume_unique=True) for a, b in zip(hub_sets, node_sets, strict=True)]
-                common = np.array([len(new) - int(new.sum()) for new in news])
-                size = [len(b) - int(np.ceil(similarity * len(b) - 1e-9)) + 1 for b in node_sets]
-                first = [np.concatenate([b[new], b[~new]])[:k] for b, new, k in zip(node_sets, news, size, strict=True)]
-                begin = np.concatenate([[0], np.cumsum([len(f) for f in first])])
+                kept = [b[~new] for b, new in zip(node_sets, news, strict=True)]
+                common = np.array([len(k) for k in kept])
+                most = [len(b) - int(np.ceil(similarity * len(b) - 1e-9)) + 1 for b in node_sets]
+                new = [b[x][:k] for b, x, k in zip(node_sets, news, most, strict=True)]
+                classes = np.concatenate([np.bincount((k >> T.U(58)).astype(np.int64), minlength=CLASSES) for k in kept])
+                steps = np.arange(len(nodes) + 1)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("a"), part.column("b"), pa.array(alike(list(zip(hubs, nodes, strict=True)), common, similarity)),
-                     pa.array([len(b) for b in nodes], pa.int64()), T.lists(np.concatenate(first), begin)],
-                    ["a", "b", "linked", "n", "prefix"])
+                     pa.array([len(b) for b in nodes], pa.int64()), pa.array(common),
+                     pa.ListArray.from_arrays(pa.array((steps * CLASSES).astype(np.int32)), pa.array(classes.astype(np.int32))),
+                     T.lists(np.concatenate([np.zeros(0, T.U), *new]), np.concatenate([[0], np.cumsum([len(x) for x in new])]))],
+                    ["a", "b", "linked", "n", "common", "kept", "new"])
     return run
 
 
@@ -221,6 +230,36 @@ def _pair_batches(similarity: float):
     return run
 
 
+def _across(tested: DataFrame, comps: DataFrame, similarity: float) -> DataFrame:
+    """Pairs (a, b) of nodes of one hub in different components whose bounds allow a link (step 2)."""
+    nodes = materialize(tested.join(comps.withColumnRenamed("node", "b"), "b", "left")
+                        .select(F.col("a").alias("hub"), F.col("b").alias("node"), F.coalesce("comp", "b").alias("comp"),
+                                "linked", "n", "common", "kept", "new"), "omh-nodes-of-hubs")
+
+    def side(df: DataFrame, k: str, *names: str) -> DataFrame:
+        return df.select("hub", *names, *[F.col(c).alias(c + k) for c in ("node", "comp", "n", "common", "kept")])
+
+    need = F.lit(similarity) * F.greatest("nx", "ny") - F.lit(1e-9)
+    both_new = F.least(F.col("nx") - F.col("commonx"), F.col("ny") - F.col("commony"))
+    allowed = (F.least("nx", "ny") >= need) & (F.least("commonx", "commony") + both_new >= need)
+    other = F.col("compx") != F.col("compy")
+
+    new = nodes.select("*", F.explode("new").alias("s"))
+    split = new.groupBy("hub", "s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
+    open_ = new.join(split.select("hub", "s"), ["hub", "s"])
+    by_new = (side(open_, "x", "s").drop("keptx").join(side(open_, "y", "s").drop("kepty"), ["hub", "s"])
+              .where((F.col("nodex") < F.col("nodey")) & other & allowed).select("nodex", "nodey"))
+
+    whole = nodes.where(F.col("common") >= F.lit(similarity) * F.col("n") - F.lit(1e-9))
+    salted = whole.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    apart = whole.where(~F.col("linked")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    shared = F.aggregate(F.zip_with("keptx", "kepty", lambda a, b: F.least(a, b)), F.lit(0), lambda total, k: total + k)
+    by_kept = (side(apart, "x", "salt").join(side(salted, "y", "salt"), ["hub", "salt"])
+               .where(other & (F.least("nx", "ny") >= need) & (shared >= need)).select("nodex", "nodey"))
+    pairs = by_new.union(by_kept)
+    return pairs.select(F.least("nodex", "nodey").alias("a"), F.greatest("nodex", "nodey").alias("b")).distinct()
+
+
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                similarity: float = SIMILARITY, sketches: int = SKETCHES, picks: int = PICKS) -> DataFrame:
     """Return id, class_id, kept: one row per input row.
@@ -256,19 +295,10 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
         return pairs.select("a", "b", "seq_a", "seq_b")
 
     tested = materialize(with_sequences(stars).mapInArrow(
-        _star_batches(similarity), f"a {kind}, b {kind}, linked boolean, n long, prefix array<long>"), "omh-stars")
+        _star_batches(similarity),
+        f"a {kind}, b {kind}, linked boolean, n long, common long, kept array<int>, new array<long>"), "omh-stars")
     links = tested.where("linked").select("a", "b")
-    comps = connected_components(links)
-
-    placed = tested.join(comps.withColumnRenamed("node", "b"), "b", "left").withColumn("comp", F.coalesce("comp", "b"))
-    rows = materialize(placed.select("a", "b", "comp", "n", F.explode("prefix").alias("s")), "omh-prefixes")
-    mixed = rows.groupBy("a", "s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi").select("a", "s")
-    open_ = rows.join(mixed, ["a", "s"])
-    x, y = (open_.select(F.col("a").alias("hub"), "s", F.col("b").alias(k), F.col("comp").alias(f"c{k}"),
-                         F.col("n").alias(f"n{k}")) for k in "ab")
-    fits = F.least("na", "nb") >= F.lit(similarity) * F.greatest("na", "nb") - F.lit(1e-9)
-    across = (x.join(y, ["hub", "s"]).where((F.col("a") < F.col("b")) & (F.col("ca") != F.col("cb")) & fits)
-              .select("a", "b").distinct())
+    across = _across(tested, connected_components(links), similarity)
     more = with_sequences(across).mapInArrow(_pair_batches(similarity), f"a {kind}, b {kind}")
     final = connected_components(links.union(more))
     classes = nodes.select(*content, "node").join(final, "node", "left").select(
