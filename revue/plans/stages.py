@@ -5,8 +5,8 @@ table, the indexed ratings with a fitted ALS model -- that several queries
 read. Each is computed once per (input fingerprint, parameters) and written as
 Parquet to the shared scratch folder, then read back, so downstream plans scan
 a table with column pruning and pushed filters instead of re-running the
-lineage. The fingerprint (path, length, modification time of each input file,
-via the Hadoop file system) makes a changed input produce a new stage.
+lineage. The fingerprint (path, length, modification time of each input file)
+makes a changed input produce a new stage.
 """
 
 from __future__ import annotations
@@ -14,6 +14,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from revue.conf import materialize
 
@@ -21,22 +22,12 @@ _MEMO: dict = {}
 
 
 def fingerprint(spark: SparkSession, sf_dir: str, tables: list[str]) -> tuple:
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    out = []
-    for t in tables:
-        p = jvm.org.apache.hadoop.fs.Path(f"{sf_dir.rstrip('/')}/{t}.parquet")
-        fs = p.getFileSystem(conf)
-        st = fs.getFileStatus(p)
-        if st.isDirectory():
-            total, mtime = 0, 0
-            for f in fs.listStatus(p):
-                total += f.getLen()
-                mtime = max(mtime, f.getModificationTime())
-            out.append((t, total, mtime))
-        else:
-            out.append((t, st.getLen(), st.getModificationTime()))
-    return tuple(out)
+    """Path, length and modification time of all files of the tables, summed up by one small job (contents are not read)."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", True)
+             .load([f"{sf_dir.rstrip('/')}/{t}.parquet" for t in tables]))
+    got = files.agg(F.count(F.lit(1)), F.sum("length"), F.max("modificationTime"),
+                    F.sum(F.xxhash64("path", "length", "modificationTime").cast("decimal(38,0)"))).first()
+    return tuple(str(x) for x in got)
 
 
 def shared(spark: SparkSession, sf_dir: str, tables: list[str], name: str, params: tuple,
@@ -48,3 +39,8 @@ def shared(spark: SparkSession, sf_dir: str, tables: list[str], name: str, param
         value = build()
         _MEMO[key] = materialize(value, name) if table else value
     return _MEMO[key]
+
+
+def forget() -> None:
+    """Build every stage anew from now on (cold timings)."""
+    _MEMO.clear()
