@@ -27,10 +27,15 @@ def scratch_root(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, through the file system it lies in."""
+    folder = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def remove_scratch(spark: SparkSession) -> None:
     """Delete what this library has written below the scratch root (also other sessions' tables)."""
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(f"{scratch_root(spark)}/revue")
-    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    remove(spark, f"{scratch_root(spark)}/revue")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -42,13 +42,13 @@ def valid_ratings(df: DataFrame) -> DataFrame:
 
 def clean_reviews(parsed: DataFrame, min_user_reviews: int = MIN_USER_REVIEWS,
                   min_product_reviews: int = MIN_PRODUCT_REVIEWS,
-                  fill_price: bool = True, materialize: bool = True) -> DataFrame:
+                  fill_price: bool = True, materialize: bool = True, base_path: str | None = None) -> DataFrame:
     """Null drop, median price fill, activity filter (counts taken once, after the null drop).
 
     The null-dropped table feeds four readers (median, user counts, product
     counts, the filtered output); with ``materialize`` it is written once (Parquet,
-    shared scratch folder) instead of re-running the scan and joins behind it
-    for each reader. The median enters as a scalar subquery (no driver round
+    shared scratch folder, at ``base_path`` if the caller means to delete it after use)
+    instead of re-running the scan and joins behind it for each reader. The median enters as a scalar subquery (no driver round
     trip). The activity filter is two left-semi joins against grouped key sets:
     map-side partial counts, and AQE may broadcast the key sets or split skewed
     fact partitions.
@@ -57,8 +57,10 @@ def clean_reviews(parsed: DataFrame, min_user_reviews: int = MIN_USER_REVIEWS,
     if materialize:
         # Parquet rather than checkpoint(): at scale this is the whole fact table, and
         # three of its four readers need only key / price columns (column pruning).
-        from revue.conf import materialize as write_back
-        d = write_back(d, "clean-input")
+        from revue.conf import scratch_path
+        path = base_path or scratch_path(d.sparkSession, "clean-input")
+        d.write.parquet(path)
+        d = d.sparkSession.read.parquet(path)
     if fill_price:
         med = median_price(d).scalar()
         d = d.withColumn("price", F.coalesce(F.col("price"), med))

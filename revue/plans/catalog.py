@@ -49,7 +49,16 @@ def clean(spark: SparkSession, sf: str, min_user: int = 5, min_product: int = 10
     """Cleaned reviews: a stage table, built once per session and input."""
     from revue.plans.stages import shared
     return shared(spark, sf, FACT_TABLES, "clean", (min_user, min_product),
-                  lambda: C.clean_reviews(parsed(spark, sf), min_user, min_product))
+                  lambda: _cleaned(spark, parsed(spark, sf), min_user, min_product), table=False)
+
+
+def _cleaned(spark: SparkSession, rows: DataFrame, *limits: int) -> DataFrame:
+    """The cleaned table, written; the null-dropped copy behind it is deleted once it has been read."""
+    from revue.conf import materialize, remove, scratch_path
+    base = scratch_path(spark, "clean-input")
+    out = materialize(C.clean_reviews(rows, *limits, base_path=base), "clean")
+    remove(spark, base)
+    return out
 
 
 RAW_COLS = ", ".join(fixtures.RAW_COLUMNS)
@@ -583,8 +592,8 @@ def _ratings(spark, sf):
     """Cleaned reviews for the served model: 'a/b' counts as a share of five stars."""
     from revue.plans.stages import shared
     return shared(spark, sf, FACT_TABLES, "ratings", (FRACTION_SCALE,),
-                  lambda: C.clean_reviews(C.parse_reviews(raw(spark, sf), FRACTION_SCALE)).select(
-                      "user_id", "product_id", "rating"))
+                  lambda: _cleaned(spark, C.parse_reviews(raw(spark, sf), FRACTION_SCALE).select(
+                      "user_id", "product_id", "rating", "price")).select("user_id", "product_id", "rating"), table=False)
 
 
 def _als_setup(spark, sf, params=None):
