@@ -18,6 +18,7 @@ so lost executors and remote stores are its commit protocol's business.
 
 from __future__ import annotations
 
+import itertools
 import unicodedata
 import zlib
 from collections.abc import Iterator
@@ -31,7 +32,7 @@ from pyspark.sql import functions as F
 from revue.conf import materialize
 from revue.llm import textops as T
 
-BLOCK, KNOWN_MOST = 4 << 20, 2_000_000
+BLOCK, KNOWN_MOST = 2 << 20, 1_000_000
 #: Character classes of the byte-level pre-tokenizer.
 LETTER, NUMBER, OTHER, SPACE = 0, 1, 2, 3
 #: What follows an apostrophe in a contraction.
@@ -52,7 +53,7 @@ def characters(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     odd = ~tail & ~_SETTLED[np.minimum(code, 0x7FF)] | (data >= 0xE0)
     cls = _CLASS[np.minimum(code, 0x7FF)]
     at = np.flatnonzero(tail)
-    cls[at] = cls[at - 1]  # only two-byte characters matter
+    cls[at] = cls[np.maximum(at, 1) - 1]  # only two-byte characters matter
     return cls, tail, odd
 
 
@@ -83,6 +84,14 @@ def pretoken_starts(data: np.ndarray, offsets: np.ndarray, cls: np.ndarray, tail
     return np.flatnonzero(start)
 
 
+def byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: itself if it is a visible
+    Latin-1 character, else the next free one from U+0100 on, in the order of the bytes."""
+    visible = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    hidden = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(0x100 + k) for k, b in enumerate(hidden)}
+
+
 class Encoder:
     """Ids of texts by a byte-level BPE tokenizer file; remembers at most ``most`` pre-tokens."""
 
@@ -90,18 +99,21 @@ class Encoder:
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
-        self.most = most
+        self.model, self.letters, self.most = self.tokenizer.model, byte_letters(), most
         self._forget()
 
     def _forget(self) -> None:
         self.numbers, self.size = T.Numbers(), 0
         self.flat, self.begin = np.zeros(1 << 16, np.uint32), np.zeros(1 << 12, np.int64)
 
-    def _library(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    def _whole(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
-    def _add(self, hashes: np.ndarray, texts: list[str]) -> np.ndarray:
-        ids = self._library(texts)
+    def _add(self, hashes: np.ndarray, pretokens: list[bytes]) -> np.ndarray:
+        """Number new pre-tokens, whose ids the library's BPE model gives one by one."""
+        text, tokenize = b"".join(pretokens).decode("latin-1").translate(self.letters), self.model.tokenize
+        cuts = [0, *itertools.accumulate(map(len, pretokens))]
+        ids = [[t.id for t in tokenize(text[a:b])] for a, b in itertools.pairwise(cuts)]
         sizes = np.fromiter(map(len, ids), np.int64, len(ids))
         flat = np.fromiter((i for one in ids for i in one), np.uint32, int(sizes.sum()))
         while self.size + len(flat) > len(self.flat):
@@ -114,9 +126,8 @@ class Encoder:
         self.size += len(flat)
         return new
 
-    def block(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def block(self, data: np.ndarray, offsets: np.ndarray, cls: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """All ids of the texts of a block of settled characters, and the first id of each text (with the end)."""
-        cls, tail, _ = characters(data)
         starts = pretoken_starts(data, offsets, cls, tail)
         ends = np.append(starts[1:], len(data))
         hashes = T.word_hashes(data, starts, ends)
@@ -127,7 +138,7 @@ class Encoder:
         missing = np.flatnonzero(at < 0)
         if len(missing):
             raw = data.tobytes()
-            at[missing] = self._add(one[missing], [raw[starts[f]:ends[f]].decode() for f in first[missing]])
+            at[missing] = self._add(one[missing], [raw[starts[f]:ends[f]] for f in first[missing]])
         at = at[which]
         sizes = self.begin[at + 1] - self.begin[at]
         to = np.cumsum(sizes)
@@ -138,19 +149,20 @@ class Encoder:
     def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids of each text in order; null counts as empty."""
         for _, _, data, offsets in T.blocks(texts, BLOCK):
-            odd = characters(data)[2] if len(data) else np.zeros(0, bool)
+            cls, tail, odd = characters(data)
             run = np.concatenate([[0], np.cumsum(odd)])
             plain = run[offsets[1:]] == run[offsets[:-1]]
             if plain.all():
-                ids, first = self.block(data, offsets)
+                ids, first = self.block(data, offsets, cls, tail)
                 yield from (ids[a:b] for a, b in zip(first[:-1], first[1:], strict=True))
                 continue
             for k, ok in enumerate(plain):
-                part = data[offsets[k]:offsets[k + 1]]
+                own = slice(offsets[k], offsets[k + 1])
+                part = data[own]
                 if ok:
-                    yield self.block(part, np.array([0, len(part)]))[0]
+                    yield self.block(part, np.array([0, len(part)]), cls[own], tail[own])[0]
                 else:
-                    yield np.array(self._library([part.tobytes().decode()])[0], np.uint32)
+                    yield self._whole(part.tobytes().decode())
 
 
 _LENGTHS = np.array([[(c >> (2 * k) & 3) + 1 for k in range(4)] for c in range(256)], np.int64)
@@ -164,8 +176,16 @@ def pack(ranks: np.ndarray) -> bytes:
     quads = np.zeros(-(-len(ranks) // 4) * 4, np.uint8)
     quads[:len(ranks)] = size - 1
     control = quads.reshape(-1, 4) @ np.array([1, 4, 16, 64], np.uint8)
-    raw = ranks.astype("<u4").view(np.uint8).reshape(-1, 4)
-    return control.astype(np.uint8).tobytes() + raw[np.arange(4) < size[:, None]].tobytes()
+    end = np.cumsum(size, dtype=np.int64)
+    data = np.empty(int(end[-1]) if len(end) else 0, np.uint8)
+    begin = end - size
+    data[begin] = ranks & np.uint32(0xFF)
+    for k in (1, 2, 3):
+        long = np.flatnonzero(size > k)
+        if not len(long):
+            break
+        data[begin[long] + k] = (ranks[long] >> np.uint32(8 * k)) & np.uint32(0xFF)
+    return control.astype(np.uint8).tobytes() + data.tobytes()
 
 
 def unpack(code: bytes, n: int) -> Iterator[np.ndarray]:
@@ -191,17 +211,19 @@ _ENCODERS: dict[str, Encoder] = {}
 
 def _encode_batches(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _ENCODERS.setdefault(path, Encoder(path))  # a worker keeps it from task to task
+        if path not in _ENCODERS:  # a worker keeps it from task to task
+            _ENCODERS[path] = Encoder(path)
+        encoder = _ENCODERS[path]
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
             texts = batch.column(1)
-            for low in range(0, batch.num_rows, 2000):
+            for low in range(0, batch.num_rows, 1000):
                 sizes, codes = [], []
-                for ids in encoder.encode(texts.slice(low, 2000)):
+                for ids in encoder.encode(texts.slice(low, 1000)):
                     ids = np.append(ids, np.uint32(end_id))
                     sizes.append(len(ids))
                     codes.append(packer.compress(np.ascontiguousarray(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T)))
-                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, 2000), pa.array(sizes, pa.int64()),
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(low, 1000), pa.array(sizes, pa.int64()),
                                                   pa.array(codes, pa.binary())], ["id", "n", "code"])
     return run
 
@@ -214,8 +236,10 @@ def _plain(code: bytes, n: int) -> np.ndarray:
 def _frequency_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     count = np.zeros(1, np.int64)
     for batch in batches:
-        for n, code in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-            more = np.bincount(_plain(code.as_py(), n))
+        for low in range(0, batch.num_rows, 1000):
+            part = batch.slice(low, 1000)
+            more = np.bincount(np.concatenate([_plain(code.as_py(), n) for n, code in zip(
+                part.column(0).to_pylist(), part.column(1), strict=True)]))
             if len(more) > len(count):
                 count, more = more, count
             count[:len(more)] += more
