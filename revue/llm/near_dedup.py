@@ -20,9 +20,9 @@ of a bucket; all links within it are found in two steps:
    a. They share a new shingle (one that the hub lacks) among the first 0.2 |y| + 1 new ones of each, by
       hash: a node with more new ones than that cannot be linked without.
    b. Or they share none; then all they have in common the hub has too, so both have at least 0.8
-      of their shingles from the hub. Their kept shingles, counted in 64 hash classes, bound what
-      they have in common by the sum of the smaller counts. Only nodes that are not linked
-      to the hub look for such partners.
+      of their shingles from the hub. Only nodes that are not linked to the hub look for such partners.
+   In both cases the kept (and in a. the new) shingles of each, counted in 64 hash classes, bound
+   what the two have in common by the sum of the smaller counts.
    A copy that was changed too much to be linked to its hub has too many new shingles for b,
    so it meets only texts with the same changes.
 
@@ -35,7 +35,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from revue.conf import materialize
@@ -195,6 +195,12 @@ def _columns(part: pa.RecordBatch, names: tuple[str, str]) -> list[tuple[list[np
     return out
 
 
+def _classes(sets: list[np.ndarray]) -> pa.Array:
+    """For each set its number of shingles in each of 64 hash classes, one set after the other."""
+    return pa.array(np.concatenate([np.bincount((s >> T.U(58)).astype(np.int64), minlength=CLASSES)
+                                    for s in sets]).astype(np.int32))
+
+
 def _star_batches(similarity: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -205,15 +211,15 @@ def _star_batches(similarity: float):
                 kept = [b[~new] for b, new in zip(node_sets, news, strict=True)]
                 common = np.array([len(k) for k in kept])
                 most = [len(b) - int(np.ceil(similarity * len(b) - 1e-9)) + 1 for b in node_sets]
-                new = [b[x][:k] for b, x, k in zip(node_sets, news, most, strict=True)]
-                classes = np.concatenate([np.bincount((k >> T.U(58)).astype(np.int64), minlength=CLASSES) for k in kept])
-                steps = np.arange(len(nodes) + 1)
+                fresh = [b[x] for b, x in zip(node_sets, news, strict=True)]
+                new = [f[:k] for f, k in zip(fresh, most, strict=True)]
+                steps = pa.array((np.arange(len(nodes) + 1) * CLASSES).astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("a"), part.column("b"), pa.array(alike(list(zip(hubs, nodes, strict=True)), common, similarity)),
                      pa.array([len(b) for b in nodes], pa.int64()), pa.array(common),
-                     pa.ListArray.from_arrays(pa.array((steps * CLASSES).astype(np.int32)), pa.array(classes.astype(np.int32))),
+                     pa.ListArray.from_arrays(steps, _classes(kept)), pa.ListArray.from_arrays(steps, _classes(fresh)),
                      T.lists(np.concatenate([np.zeros(0, T.U), *new]), np.concatenate([[0], np.cumsum([len(x) for x in new])]))],
-                    ["a", "b", "linked", "n", "common", "kept", "new"])
+                    ["a", "b", "linked", "n", "common", "kept", "fresh", "new"])
     return run
 
 
@@ -234,28 +240,30 @@ def _across(tested: DataFrame, comps: DataFrame, similarity: float) -> DataFrame
     """Pairs (a, b) of nodes of one hub in different components whose bounds allow a link (step 2)."""
     nodes = materialize(tested.join(comps.withColumnRenamed("node", "b"), "b", "left")
                         .select(F.col("a").alias("hub"), F.col("b").alias("node"), F.coalesce("comp", "b").alias("comp"),
-                                "linked", "n", "common", "kept", "new"), "omh-nodes-of-hubs")
+                                "linked", "n", "common", "kept", "fresh", "new"), "omh-nodes-of-hubs")
 
     def side(df: DataFrame, k: str, *names: str) -> DataFrame:
-        return df.select("hub", *names, *[F.col(c).alias(c + k) for c in ("node", "comp", "n", "common", "kept")])
+        return df.select("hub", *names, *[F.col(c).alias(c + k) for c in ("node", "comp", "n", "kept", "fresh")])
+
+    def at_most(name: str) -> Column:
+        """Upper bound of the shingles that both sides hold, from the counts of each hash class."""
+        return F.aggregate(F.zip_with(name + "x", name + "y", lambda a, b: F.least(a, b)), F.lit(0), lambda t, k: t + k)
 
     need = F.lit(similarity) * F.greatest("nx", "ny") - F.lit(1e-9)
-    both_new = F.least(F.col("nx") - F.col("commonx"), F.col("ny") - F.col("commony"))
-    allowed = (F.least("nx", "ny") >= need) & (F.least("commonx", "commony") + both_new >= need)
-    other = F.col("compx") != F.col("compy")
+    fits = (F.col("compx") != F.col("compy")) & (F.least("nx", "ny") >= need)
 
     new = nodes.select("*", F.explode("new").alias("s"))
     split = new.groupBy("hub", "s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
     open_ = new.join(split.select("hub", "s"), ["hub", "s"])
-    by_new = (side(open_, "x", "s").drop("keptx").join(side(open_, "y", "s").drop("kepty"), ["hub", "s"])
-              .where((F.col("nodex") < F.col("nodey")) & other & allowed).select("nodex", "nodey"))
+    by_new = (side(open_, "x", "s").join(side(open_, "y", "s"), ["hub", "s"])
+              .where((F.col("nodex") < F.col("nodey")) & fits & (at_most("kept") + at_most("fresh") >= need))
+              .select("nodex", "nodey"))
 
     whole = nodes.where(F.col("common") >= F.lit(similarity) * F.col("n") - F.lit(1e-9))
     salted = whole.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
     apart = whole.where(~F.col("linked")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    shared = F.aggregate(F.zip_with("keptx", "kepty", lambda a, b: F.least(a, b)), F.lit(0), lambda total, k: total + k)
     by_kept = (side(apart, "x", "salt").join(side(salted, "y", "salt"), ["hub", "salt"])
-               .where(other & (F.least("nx", "ny") >= need) & (shared >= need)).select("nodex", "nodey"))
+               .where(fits & (at_most("kept") >= need)).select("nodex", "nodey"))
     pairs = by_new.union(by_kept)
     return pairs.select(F.least("nodex", "nodey").alias("a"), F.greatest("nodex", "nodey").alias("b")).distinct()
 
@@ -296,7 +304,8 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
 
     tested = materialize(with_sequences(stars).mapInArrow(
         _star_batches(similarity),
-        f"a {kind}, b {kind}, linked boolean, n long, common long, kept array<int>, new array<long>"), "omh-stars")
+        f"a {kind}, b {kind}, linked boolean, n long, common long, kept array<int>, "
+        "fresh array<int>, new array<long>"), "omh-stars")
     links = tested.where("linked").select("a", "b")
     across = _across(tested, connected_components(links), similarity)
     more = with_sequences(across).mapInArrow(_pair_batches(similarity), f"a {kind}, b {kind}")
