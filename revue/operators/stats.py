@@ -8,7 +8,7 @@ and a caller narrows it with a semi join on the keys it wants.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from revue.fixed import POPULAR_MIN_REVIEWS, TOP_K
@@ -177,5 +177,5 @@ def known_users(reviews: DataFrame, candidates: DataFrame) -> DataFrame:
     return candidates.join(reviews.select("user_id"), "user_id", "left_semi")
 
 
-__all__ = [n for n in dir() if not n.startswith("_") and n not in ("DataFrame", "Window", "F", "topk",
+__all__ = [n for n in dir() if not n.startswith("_") and n not in ("DataFrame", "F", "topk",
                                                                        "annotations", "epoch_to_date", "label")]

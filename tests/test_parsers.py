@@ -1,6 +1,5 @@
 """Edge rows for every parser (FIXTURES section 3)."""
 
-import pytest
 from pyspark.sql import functions as F
 
 from revue.functions import (epoch_to_date, label, normalise_title, parse_helpfulness, parse_price,

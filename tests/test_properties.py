@@ -4,7 +4,6 @@ import re
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from revue.functions import parse_helpfulness, parse_price, parse_rating
 
