@@ -11,6 +11,10 @@ the bits. Fingerprints within a radius of 12 are found by multi-index hashing: t
 bits are cut into 13 blocks, so two fingerprints that differ in 12 bits at most agree in one
 block, and the items of each block value are listed. What is found is checked exactly.
 
+No radius bounds the similarity, so the fingerprints only find near windows early. Every other
+window whose shingles shared with an item weigh enough to reach 0.8, and what was found for
+that item, is checked exactly too, whatever its distance: the result does not depend on the radius.
+
 Documents are not shuffled. Items are taken to the tasks in blocks of at most
 ``block_words`` words, a stated bound; a longer benchmark is searched block by block.
 """
@@ -106,6 +110,8 @@ class ItemIndex:
         self.shingles: list[np.ndarray] = []
         self.weights: list[np.ndarray] = []
         self.by_length: dict[int, tuple[np.ndarray, HammingIndex]] = {}
+        # For each item length: sorted (shingle, item), a shingle of an item once; the least weight of an item.
+        self.holders: dict[int, tuple[np.ndarray, np.ndarray, int]] = {}
         prints = np.zeros(len(texts), T.U)
         for i, n in enumerate(self.length):
             own, k = slice(first[i], first[i + 1]), min(words, int(n))
@@ -119,9 +125,14 @@ class ItemIndex:
             else:
                 self.shingles.append(np.zeros(0, T.U))
                 self.weights.append(np.zeros(0, np.int64))
+        self.total = np.array([w.sum() for w in self.weights], np.int64)
         for n in np.unique(self.length[self.length > 0]):
             items = np.flatnonzero(self.length == n)
             self.by_length[int(n)] = items, HammingIndex(prints[items], radius)
+            own = [np.unique(self.shingles[i]) for i in items]
+            s, i = np.concatenate(own), np.repeat(items, [len(o) for o in own])
+            order = np.argsort(s, kind="stable")
+            self.holders[int(n)] = s[order], i[order], int(self.total[items].min())
         # For each shingle size: sorted distinct (shingle, item length), and a table of low bits.
         self.hits = {}
         for k, parts in by_k.items():
@@ -168,11 +179,50 @@ class ItemIndex:
                 low, high = part[0], min(len(hashes), part[-1] + n)
                 prints = fingerprints(signed_bits(hashes[low:high], sizes[low:high]), part - low, n)
                 for w, i in zip(*index.search(prints), strict=True):
-                    item, start = int(items[i]), int(part[w])
-                    own = slice(start, start + max(1, n - k + 1))
-                    sim = dice(shingles[own], weights[own], self.shingles[item], self.weights[item])
-                    if sim >= self.similarity - 1e-12:
-                        best[t, item] = max(best.get((t, item), (-1.0, 0)), (sim, -start))
+                    self._check(t, int(items[i]), int(part[w]), max(1, n - k + 1), shingles, weights, best)
+        self._others(t, n, begins, hit, max(1, n - k + 1), shingles, weights, best)
+
+    def _check(self, t, item, start, size, shingles, weights, best) -> None:
+        own = slice(start, start + size)
+        sim = dice(shingles[own], weights[own], self.shingles[item], self.weights[item])
+        if sim >= self.similarity - 1e-12:
+            best[t, item] = max(best.get((t, item), (-1.0, 0)), (sim, -start))
+
+    def _others(self, t, n, begins, hit, size, shingles, weights, best) -> None:
+        """Check the windows whose shared shingles weigh enough; ``hit`` are the places of shingles of items of ``n`` words."""
+        known, holder, least = self.holders[n]
+        sums = np.concatenate([[0], np.cumsum(weights)])
+        stops = np.minimum(begins + size, len(shingles))
+        whole = sums[stops] - sums[begins]
+
+        def shared(places: np.ndarray) -> np.ndarray:
+            """Weight of the shingles of each window at ascending ``places``: the common weight at most."""
+            upto = np.concatenate([[0], np.cumsum(weights[places])])
+            return upto[np.searchsorted(places, stops)] - upto[np.searchsorted(places, begins)]
+
+        may = 2 * shared(hit) >= (self.similarity - 1e-9) * (whole + least)
+        begins, stops, whole = begins[may], stops[may], whole[may]
+        if not len(begins):
+            return
+        # Places within a window that may reach it, and the items that hold their shingles.
+        inside = np.searchsorted(begins, hit, "right") > np.searchsorted(stops, hit, "right")
+        hit = hit[inside]
+        low = np.searchsorted(known, shingles[hit], "left")
+        count = np.searchsorted(known, shingles[hit], "right") - low
+        place = np.repeat(hit, count)
+        item = holder[np.arange(len(place)) - np.repeat(np.cumsum(count) - count, count) + np.repeat(low, count)]
+        # The common weight is that of the window at most, so it must be this share of the item's weight.
+        share = self.similarity / (2 - self.similarity) - 1e-9
+        enough = np.bincount(item, weights[place], len(self.total)) >= share * self.total
+        order = np.flatnonzero(enough[item])
+        order = order[np.argsort(item[order], kind="stable")]
+        ones, first = np.unique(item[order], return_index=True)
+        for i, own in zip(ones, np.split(place[order], first[1:]), strict=True):
+            reach = 2 * np.minimum(shared(own), self.total[i]) / (whole + self.total[i])
+            for w in np.argsort(-reach, kind="stable"):
+                if reach[w] < max(self.similarity, best.get((t, int(i)), (0.0, 0))[0]) - 1e-9:
+                    break
+                self._check(t, int(i), int(begins[w]), size, shingles, weights, best)
 
 
 def _match_batches(items: list[tuple[object, str]], words: int, similarity: float, radius: int, schema: pa.Schema):
@@ -217,7 +267,7 @@ def contaminated(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                  similarity: float = SIMILARITY, radius: int = RADIUS, block_words: int = BLOCK_WORDS) -> DataFrame:
     """Return id, item_id, first_word, n_words, similarity: the best window of each (document, item) found.
 
-    The earliest window wins a tie. An item of fewer than ``words`` words is one shingle of its own length. Null,
+    The earliest window wins a tie. ``radius`` changes the time taken, never the result. An item of fewer than ``words`` words is one shingle of its own length. Null,
     empty and word-free texts and items match nothing. Repeated rows of a document are listed each, repeated
     items too; a null id is returned as null. Without documents or items the result is empty. Other columns are
     not read.

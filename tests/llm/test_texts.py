@@ -183,6 +183,38 @@ def test_decontamination_equals_brute_force(spark):
     assert {r.doc_id for r in kept.collect()} == {d for d, _ in docs} - {d for d, _ in want}
 
 
+def edited_items(seed=9):
+    """Items of a Zipf-like vocabulary, and documents with them cut off at an end, partly replaced, or with long words changed."""
+    rng = random.Random(seed)
+    vocabulary = ["".join(rng.choice("abcdefghij") for _ in range(rng.choice([2, 3, 3, 4, 5, 7, 9, 12]))) for _ in range(900)]
+    some = lambda n: [vocabulary[int(900 * rng.random() ** 2)] for _ in range(n)]
+    items = [(k, some(rng.randrange(14, 60))) for k in range(40)]
+    docs = []
+    for _, item in items:
+        n = len(item)
+        for cut in range(1, n // 5 + 1):
+            docs += [item[:n - cut] + some(12), some(12) + item[cut:], some(12) + item[:n - cut] + some(cut) + some(9)]
+        long = sorted(range(n), key=lambda j: -len(item[j]))
+        for changed in (1, 2):
+            docs.append(some(8) + [w if j not in long[:changed] else "z" * 14 for j, w in enumerate(item)] + some(8))
+    return [(k, " ".join(w)) for k, w in items], [(k, " ".join(w)) for k, w in enumerate(docs)]
+
+
+def test_decontamination_finds_cut_off_and_edited_items(spark):
+    items, docs = edited_items()
+    own = [i for k, (_, text) in enumerate(items) for i in [k] * (3 * (len(text.split()) // 5) + 2)]
+    want = {}
+    for i, item in items:
+        want |= brute_matches([d for d, o in zip(docs, own, strict=True) if o == i], [(i, item)])
+    df, table = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    assert len(want) > 200 and sum(sim < 0.85 for _, sim in want.values()) > 50
+    for radius in (12, 0):
+        found = {(r.doc_id, r.item_id): (r.first_word, r.similarity)
+                 for r in decontaminate.contaminated(df, table, radius=radius).collect()}
+        assert set(found) == set(want)
+        assert all(found[k] == pytest.approx(want[k]) for k in want)
+
+
 def test_hamming_index_finds_all_within_radius():
     rng = np.random.default_rng(1)
     prints = rng.integers(0, 1 << 63, 300, dtype=np.uint64)
