@@ -8,6 +8,7 @@ from revue.functions.parse import epoch_to_date, parse_helpfulness
 from revue.operators import evaluate as EV
 from revue.operators import features as FT
 from revue.operators import recommend as R
+from revue.operators import similarity as SIM
 from revue.operators import stats as S
 from revue.plans import catalog as Q
 from revue.sources import io
@@ -31,6 +32,30 @@ def test_vocabulary_keeps_every_term(spark):
     assert docs.vocab.count() == 10
 
 
+def test_lsh_points_keep_every_term(spark):
+    # 270,000 terms, each in two products: more than CountVectorizer's default of 262,144.
+    df = spark.range(540).select(
+        F.concat(F.lit("P"), "id").alias("product_id"), F.col("id").cast("double").alias("price"),
+        F.expr("array_join(transform(sequence(0, 999), k -> concat('w', (id div 2) * 1000 + k)), ' ')").alias("title"))
+    points = [r.point for r in SIM.lsh_points(FT.TitleFeatures(df, materialize=True)).collect()]
+    assert len(points) == 540 and {len(p) for p in points} == {270_001}
+    assert {len(p.indices) for p in points} == {1001}
+    assert len({int(i) for p in points for i in p.indices}) == 270_001
+
+
+def test_lsh_points_have_the_weights_of_the_title_terms(spark):
+    rows = [("A", "red gear", 1.0), ("B", "red gear gear", 2.0), ("C", "the", 3.0), ("D", "blue gear", None)]
+    feats = FT.TitleFeatures(spark.createDataFrame(rows, "product_id string, title string, price double"), materialize=True)
+    weights = {}
+    for r in feats.product_weights().collect():
+        weights.setdefault(r.product_id, {})[r.term] = r.weight
+    got = {r.pid: r.point for r in SIM.lsh_points(feats).collect()}
+    terms = sorted({t for w in weights.values() for t in w})
+    assert set(got) == {"A", "B", "C"} and terms == ["gear", "red"]
+    for pid, price in (("A", 0.0), ("B", 0.5), ("C", 1.0)):
+        assert got[pid].toArray().tolist() == pytest.approx([price, *(weights.get(pid, {}).get(t, 0.0) for t in terms)])
+
+
 def test_histories_hold_all_reviews(spark):
     df = spark.range(1500).select(F.lit("U1").alias("user_id"), F.lit("P1").alias("product_id"), F.lit("t").alias("title"),
                                   F.lit("n").alias("user_name"), F.lit(4.0).alias("rating"), F.lit(1).alias("helpful_votes"),
