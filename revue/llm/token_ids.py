@@ -4,7 +4,8 @@ Encoding. A byte-level BPE never merges across pre-tokens, so a text's ids are t
 a row. Pre-tokens of a block of texts are found with numpy on the UTF-8 bytes, and only ones
 not seen before go to the tokenizers library; a bounded table keeps the ids of the others. That
 holds for texts of ASCII and Latin characters, whose classes are settled; any other text goes to
-the library whole.
+the library whole. So does a text that holds an added token of the tokenizer file (``<|endoftext|>``),
+which the library gives the token's own id.
 
 Files. Ids are ranked by their frequency in all documents, so common ones have small ranks.
 A rank takes 1 to 4 bytes; its length minus 1 goes into two bits of a control byte, four ranks to a byte.
@@ -93,12 +94,18 @@ def byte_letters() -> dict[int, str]:
 
 
 class Encoder:
-    """Ids of texts by a byte-level BPE tokenizer file; remembers at most ``most`` pre-tokens."""
+    """Ids of texts by a byte-level BPE tokenizer file; remembers at most ``most`` pre-tokens.
 
-    def __init__(self, path: str, most: int = KNOWN_MOST):
+    With ``added``, as the token files have it, ids are those of the library as it is. Without, the names of special
+    tokens in a text are plain characters (the library's ``encode_special_tokens``).
+    """
+
+    def __init__(self, path: str, most: int = KNOWN_MOST, added: bool = False):
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = not added
+        self.added = [t.content.encode() for t in self.tokenizer.get_added_tokens_decoder().values()
+                      if added or not t.special]
         self.model, self.letters, self.most = self.tokenizer.model, byte_letters(), most
         self._forget()
 
@@ -109,6 +116,17 @@ class Encoder:
     def _whole(self, text: str) -> np.ndarray:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
 
+    def _holds_added(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Whether each text holds an added token; one that a token across its end begins in may count too."""
+        out, raw = np.zeros(len(offsets) - 1, bool), data.tobytes()
+        for token in self.added:
+            at = raw.find(token)
+            while at >= 0:
+                k = int(np.searchsorted(offsets, at, "right")) - 1
+                out[k] = True
+                at = raw.find(token, max(at + 1, int(offsets[k + 1]) - len(token) + 1))
+        return out
+
     def _add(self, hashes: np.ndarray, pretokens: list[bytes]) -> np.ndarray:
         """Number new pre-tokens, whose ids the library's BPE model gives one by one."""
         text, tokenize = b"".join(pretokens).decode("latin-1").translate(self.letters), self.model.tokenize
@@ -151,7 +169,7 @@ class Encoder:
         for _, _, data, offsets in T.blocks(texts, BLOCK):
             cls, tail, odd = characters(data)
             run = np.concatenate([[0], np.cumsum(odd)])
-            plain = run[offsets[1:]] == run[offsets[:-1]]
+            plain = (run[offsets[1:]] == run[offsets[:-1]]) & ~self._holds_added(data, offsets)
             if plain.all():
                 ids, first = self.block(data, offsets, cls, tail)
                 yield from (ids[a:b] for a, b in zip(first[:-1], first[1:], strict=True))
@@ -212,7 +230,7 @@ _ENCODERS: dict[str, Encoder] = {}
 def _encode_batches(path: str, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if path not in _ENCODERS:  # a worker keeps it from task to task
-            _ENCODERS[path] = Encoder(path)
+            _ENCODERS[path] = Encoder(path, added=True)
         encoder = _ENCODERS[path]
         packer = zstandard.ZstdCompressor(level=1)
         for batch in batches:
@@ -264,7 +282,7 @@ def _pack_batches(by_frequency: np.ndarray):
 
 def write_token_files(df: DataFrame, path: str, tokenizer: str, id_col: str = "doc_id", text_col: str = "text",
                       end_id: int = 0) -> None:
-    """Encode every text, append ``end_id``, and write ``path/ranks`` and ``path/files``, ascending by id.
+    """Encode every text as the library does, append ``end_id``, and write ``path/ranks`` and ``path/files``, ascending by id.
 
     ``tokenizer`` is the file of a byte-level BPE tokenizer, found there on every host. Null counts as
     empty text: one id, the end. Null ids come first; repeated ids stay side by side. An

@@ -323,6 +323,21 @@ def test_encoder_equals_library():
             assert ids.tolist() == library.encode(text or "", add_special_tokens=False).ids
 
 
+def test_added_tokens_have_their_own_ids(spark):
+    library = Tokenizer.from_file(BPE)
+    plain = lambda text: library.encode(text or "", add_special_tokens=False).ids
+    assert plain("<|endoftext|>") == [50256]
+    rng = random.Random(10)
+    bits = ["a", "the", "é", " ", "  ", "\n", "'s", "<|endoftext|>", "<|endof", "text|>", "<|", "|>", "日本"]
+    texts = ["".join(rng.choice(bits) for _ in range(rng.randrange(12))) for _ in range(800)] + [None, "", "<|endoftext|>" * 3]
+    for text, ids in zip(texts, token_ids.Encoder(BPE, added=True).encode(pa.array(texts)), strict=True):
+        assert ids.tolist() == plain(text)
+    path = scratch_path(spark, "test-tokens")
+    token_ids.write_token_files(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), path, BPE)
+    assert {r.id: r.ids for r in token_ids.read_token_files(spark, path).collect()} == {
+        k: [*plain(text), 0] for k, text in enumerate(texts)}
+
+
 @pytest.mark.parametrize("n", [0, 1, 4, 5, 1000])
 def test_pack_round_trip(n, monkeypatch):
     monkeypatch.setattr(token_ids, "PIECE", 64)
