@@ -244,6 +244,58 @@ def test_language_held_out_accuracy(spark):
     assert got["rejected"].mean() < 0.01
 
 
+#: Latin-script languages that the documents do not have.
+UNLEARNED = {
+    "it": (
+        "La città si sveglia lentamente mentre le prime luci del mattino attraversano le strade del centro. I "
+        "negozi aprono le porte e il profumo del caffè si diffonde nell'aria. Molte persone camminano verso "
+        "il lavoro, altre aspettano l'autobus sotto la pioggia leggera. Nel pomeriggio i bambini giocano "
+        "nella piazza e gli anziani parlano di politica e di calcio seduti sulle panchine. "),
+    "fi": (
+        "Kaupunki herää hitaasti, kun aamun ensimmäiset valot osuvat keskustan katuihin. Kaupat avaavat "
+        "ovensa ja kahvin tuoksu leviää ilmaan. Monet ihmiset kävelevät töihin, toiset odottavat bussia "
+        "kevyessä sateessa. Iltapäivällä lapset leikkivät torilla ja vanhukset keskustelevat politiikasta ja "
+        "jalkapallosta penkeillä istuen. "),
+    "sw": (
+        "Mji unaamka polepole wakati mwanga wa kwanza wa asubuhi unapofika katika mitaa ya katikati. Maduka "
+        "yanafungua milango yao na harufu ya kahawa inaenea hewani. Watu wengi wanatembea kwenda kazini, "
+        "wengine wanasubiri basi chini ya mvua nyepesi. Mchana watoto wanacheza uwanjani na wazee "
+        "wanazungumza kuhusu siasa na mpira wakiwa wamekaa kwenye viti. "),
+    "pl": (
+        "Miasto budzi się powoli, gdy pierwsze światła poranka padają na ulice centrum. Sklepy otwierają "
+        "drzwi, a zapach kawy unosi się w powietrzu. Wielu ludzi idzie do pracy, inni czekają na autobus w "
+        "lekkim deszczu. Po południu dzieci bawią się na placu, a starsi rozmawiają o polityce i piłce "
+        "nożnej, siedząc na ławkach. "),
+    "tr": (
+        "Şehir, sabahın ilk ışıkları merkezin sokaklarına vururken yavaşça uyanıyor. Dükkanlar kapılarını "
+        "açıyor ve kahve kokusu havaya yayılıyor. Birçok insan işe yürüyor, diğerleri hafif yağmurun altında "
+        "otobüs bekliyor. Öğleden sonra çocuklar meydanda oynuyor, yaşlılar banklarda oturup siyaset ve "
+        "futbol konuşuyor. "),
+    "pt": (
+        "A cidade acorda lentamente enquanto as primeiras luzes da manhã atravessam as ruas do centro. As "
+        "lojas abrem as portas e o cheiro do café espalha-se pelo ar. Muitas pessoas caminham para o "
+        "trabalho, outras esperam o autocarro debaixo da chuva leve. À tarde as crianças brincam na praça e "
+        "os idosos falam de política. "),
+    "nl": (
+        "De stad wordt langzaam wakker terwijl het eerste ochtendlicht op de straten van het centrum valt. De "
+        "winkels openen hun deuren en de geur van koffie verspreidt zich in de lucht. Veel mensen lopen naar "
+        "hun werk, anderen wachten op de bus in de lichte regen. In de middag spelen de kinderen op het "
+        "plein. "),
+    "hex": " ".join(f"{zlib.crc32(str(k).encode()):08x}" * 4 for k in range(12)), "aaaa": "a" * 300}
+
+
+def test_unlearned_languages_of_latin_script_are_rejected(spark):
+    from revue.llm.queries import id_remainder, language_model
+    docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
+    model = language_model(docs)
+    far = spark.createDataFrame(list(UNLEARNED.items()), "doc_id string, text string")
+    got = {r.doc_id: (r.lang_pred, round(r.score, 3), r.rejected) for r in langid.identify(far, model).collect()}
+    # Portuguese lies too near to Spanish.
+    assert {k for k, (_, _, rejected) in got.items() if not rejected} <= {"pt"}
+    held = langid.identify(docs.where(id_remainder(4) == 2), model)
+    assert held.where("rejected").count() < 0.01 * held.count()
+
+
 def test_language_messy(spark, messy, empty, small):
     model = langid.fit(small)
     got = {r.doc_id: r for r in langid.identify(messy, model).collect()}
