@@ -19,6 +19,7 @@ from revue.llm import (
     mixing,
     near_dedup,
     sharding,
+    spelling,
     token_counts,
     token_ids,
     toxicity,
@@ -270,3 +271,47 @@ def op9_temporal_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_simhash_decontamination")
 def op10_simhash_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+# ------------------------------------------------------------------ 11 spelling variants
+
+@query("op11_spelling_variants", rf"""
+with recursive {CRC_SQL},
+runs as (
+  select doc_id, run, count(*) as c from (
+    select doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{{C0}}-\x{{FF}}]+')),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as run from documents)
+  where length(run) >= 7 group by all),
+crc as (
+  select run, c, xor(list_reduce(
+      list_prepend(4294967295::bigint,
+        list_transform(regexp_extract_all(hex(encode(coalesce(doc_id::varchar, '') || ':' || run)), '..'),
+        lambda x: ((instr('0123456789ABCDEF', x[1]) - 1) * 16 + instr('0123456789ABCDEF', x[2]) - 1)::bigint)),
+      lambda c, b: xor(c >> 8, crc_table.steps[(xor(c, b) & 255) + 1])), 4294967295::bigint) as h
+  from runs, crc_table),
+v as (
+  select word, sum(c)::bigint as n from (
+    select c, case when h % 31 = 0 then substr(run, 1, (h % length(run))::bigint) || substr(run, (h % length(run))::bigint + 2)
+              else run end as word from crc)
+  where length(word) >= 7 group by word having sum(c) >= 2),
+cut as (select word, n, i, substr(word, 1, i - 1) as head, substr(word, i + 1) as tail
+        from (select word, n, unnest(range(1, length(word) + 1)) as i from v)),
+one as (select distinct a.word as longer, a.n as longer_n, b.word as shorter, b.n as shorter_n
+        from cut a join v b on a.head || a.tail = b.word),
+near as (
+  select longer as word, shorter as near, shorter_n as near_n from one
+  union all select shorter, longer, longer_n from one
+  union all select a.word, b.word, b.n from cut a join cut b on a.i = b.i and a.head = b.head and a.tail = b.tail and a.word <> b.word),
+best as (
+  select word, count(*) as n_near, arg_min(near, (-near_n, near)) as near, max(near_n) as near_n from near group by word),
+forms as (
+  select v.word, n, coalesce(n_near, 0)::bigint as n_near, case when near_n >= 10 * n then near end as form,
+         case when near_n >= 10 * n then near_n end as form_n from v left join best using (word)),
+hops as (
+  select word, word as root from forms
+  union all select h.word, f.form from hops h join forms f on h.root = f.word where f.form is not null)
+select f.word, f.form, h.root, f.n, f.n_near, f.form_n::bigint as form_n
+from hops h join forms f on h.word = f.word join forms g on h.root = g.word where g.form is null
+""")
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(table(spark, sf_dir, "documents"))

@@ -51,8 +51,12 @@ def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int
 def word_spans(data: np.ndarray, offsets: np.ndarray,
                word_byte: np.ndarray = WORD_BYTE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start and end byte of every word, and the first word of each text (with the end)."""
-    inside = word_byte[data]
-    cut = np.zeros(len(data) + 1, bool)
+    return spans(word_byte[data], offsets)
+
+
+def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every run of bytes that are ``inside``, and the first run of each text (with the end)."""
+    cut = np.zeros(len(inside) + 1, bool)
     cut[offsets] = True
     starts, ends = inside.copy(), inside.copy()
     starts[1:] &= ~inside[:-1] | cut[1:-1]
