@@ -16,8 +16,10 @@ from revue.conf import scratch_path
 from revue.llm import (
     decontaminate,
     langid,
+    main_text,
     mixing,
     near_dedup,
+    phrases,
     sharding,
     spelling,
     token_counts,
@@ -315,3 +317,58 @@ from hops h join forms f on h.word = f.word join forms g on h.root = g.word wher
 """)
 def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(table(spark, sf_dir, "documents"))
+
+
+# ------------------------------------------------------------------ 12 main text
+
+@query("op12_main_text", r"""
+with a as (
+  select page_id, url, regexp_replace(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)</article>', 1), '<br>', ' ', 'g') as h from pages),
+b as (
+  select page_id, url, string_split(regexp_replace(regexp_replace(h, '</?(?:p|h1)>', chr(1), 'g'), '<[^>]*>', '', 'g'), chr(1)) as parts from a),
+c as (
+  select page_id, url, array_to_string(list_filter(list_transform(parts, lambda x: trim(regexp_replace(
+           replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;', '&'),
+           '[\x09-\x0D\x1C-\x20\x{85}\x{A0}]+', ' ', 'g'))), lambda x: x <> ''), chr(10)) as text from b)
+select page_id, url, text, length(text)::bigint as n_chars from c
+""")
+def op12_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The SQL knows the one template of the tables; the operator does not."""
+    pages = table(spark, sf_dir, "pages")
+    return main_text.extract(pages, main_text.fit(pages), ["page_id", "url"])
+
+
+# ------------------------------------------------------------------ 13 collocations
+
+@query("op13_phrase_collocations", r"""
+with p as (
+  select lang, regexp_extract_all(piece, '[^\x20\x09]+') as ws from (
+    select coalesce(lang, 'und') as lang,
+           unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                        '[.,;:!?\x0A-\x0D]')) as piece from documents)),
+one as (select lang, w, count(*) as f from (select lang, unnest(ws) as w from p) group by all),
+total as (select lang, sum(f)::bigint as n from one group by lang),
+two as (
+  select lang, ws[i] as x, ws[i + 1] as y, count(*) as f
+  from (select lang, ws, unnest(range(1, len(ws))) as i from p) group by all having count(*) >= 10),
+three as (
+  select lang, ws[i] as x, ws[i + 1] as y, ws[i + 2] as z, count(*) as f
+  from (select lang, ws, unnest(range(1, len(ws) - 1)) as i from p) group by all having count(*) >= 10),
+cuts as (
+  select two.lang, x || ' ' || y as phrase, two.f as a, u.f as l, v.f as r, 1 as k
+  from two join one u on two.lang = u.lang and x = u.w join one v on two.lang = v.lang and y = v.w
+  where not exists (select 1 from three t where t.lang = two.lang and 100 * t.f >= 50 * two.f
+                    and ((t.x = two.x and t.y = two.y) or (t.y = two.x and t.z = two.y)))
+  union all
+  select t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, u.f, v.f, 1
+  from three t join one u on t.lang = u.lang and t.x = u.w join two v on t.lang = v.lang and t.y = v.x and t.z = v.y
+  union all
+  select t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, u.f, v.f, 2
+  from three t join two u on t.lang = u.lang and t.x = u.x and t.y = u.y join one v on t.lang = v.lang and t.z = v.w),
+scored as (select *, ((a::hugeint * a * 1000000) // (l::hugeint * r))::bigint as score from cuts),
+low as (select * from scored qualify row_number() over (partition by lang, phrase order by score, k) = 1)
+select lang, row_number() over (partition by lang order by score desc, a desc, phrase) as rank, phrase, a, l, r, n, score
+from low join total using (lang) qualify rank <= 2000
+""")
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
