@@ -12,7 +12,8 @@ reader comments...: ``NOT_TEXT``) are counted for that element alone, so that a
 lists in an article. Shares start from prior counts, so unseen names have a weight, too.
 
 Words whose own key weighs less than a half because of such an element are not put out, even if the run spans it.
-Crossing one costs ``CROSSING`` words, so an advert in the middle does not cut an article off.
+Crossing one costs ``CROSSING`` words, so an advert in the middle does not cut an article off. A run within an
+element that marks the text is widened to all of it: short blocks at its ends belong to it.
 """
 
 from __future__ import annotations
@@ -97,19 +98,24 @@ class Block:
 
 
 class Element:
-    """An open block element: its keys, the outermost element not of text around or at it, and open inline ones."""
+    """A block element: its keys, those of the outermost element not of text around or at it, open inline ones, and
+    the range of its blocks. ``text`` elements say by their name or role that they hold the page's text."""
 
-    __slots__ = ("article", "counts", "inline", "keys", "name", "not_text")
+    __slots__ = ("article", "begin", "counts", "depth", "end", "inline", "keys", "name", "not_text", "parent", "text")
 
-    def __init__(self, name: str, keys: list[str], not_text: list[str] | None, article: bool):
-        self.name, self.keys, self.not_text, self.article = name, keys, not_text, article
+    def __init__(self, name: str, keys: list[str], not_text: list[str] | None, parent: Element | None, begin: int):
+        self.name, self.keys, self.not_text, self.parent, self.begin, self.end = name, keys, not_text, parent, begin, begin
+        self.depth = parent.depth + 1 if parent else 0
+        marks = name in ARTICLE and not_text is None
+        self.article = marks or (parent is not None and parent.article)
+        self.text = marks or (not_text is None and name not in WHOLE_PAGE and any(k.partition(".")[2] in TEXT for k in keys))
         self.inline: list[str] = []
         self.counts: Counter = Counter()
 
 
 def blocks_of(page: str) -> list[Block]:
     """The blocks of a page in order; those below an element that is not text included."""
-    root = Element("", ["body"], None, False)
+    root = Element("", ["body"], None, None, 0)
     stack, opened, out = [root], Counter(), []
     block = Block(root)
 
@@ -134,6 +140,7 @@ def blocks_of(page: str) -> list[Block]:
         flush()
         while True:
             element = stack.pop()
+            element.end = len(out)
             opened[element.name] -= 1
             if element.name == name:
                 break
@@ -190,7 +197,7 @@ def blocks_of(page: str) -> list[Block]:
             close(top.name)
         parent = stack[-1]
         flush()
-        stack.append(Element(name, keys, parent.not_text or (keys if no_text else None), parent.article or (name in ARTICLE and not no_text)))
+        stack.append(Element(name, keys, parent.not_text or (keys if no_text else None), parent, len(out)))
         opened[name] += 1
         block.element, block.article = stack[-1], stack[-1].article
         if no_text:
@@ -200,6 +207,8 @@ def blocks_of(page: str) -> list[Block]:
     if at < len(page):
         text(page[at:])
     flush()
+    for element in stack:
+        element.end = len(out)
     return out
 
 
@@ -245,6 +254,21 @@ def best_run(gains: list[float], costs: list[float]) -> tuple[int, int]:
     return best
 
 
+def widened(blocks: list[Block], begin: int, end: int) -> tuple[int, int]:
+    """A run with the blocks beside it that lie in the same text element, the innermost around all of it."""
+    if begin == end:
+        return begin, end
+    low, high = blocks[begin].element, blocks[end - 1].element
+    while low is not high:
+        if low.depth >= high.depth:
+            low = low.parent
+        else:
+            high = high.parent
+    while low is not None and not low.text:
+        low = low.parent
+    return (begin, end) if low is None else (low.begin, low.end)
+
+
 def main_text(page: str, weights: Weights) -> str:
     """The text of the best run of blocks, one line a block."""
     blocks = blocks_of(page)
@@ -258,7 +282,7 @@ def main_text(page: str, weights: Weights) -> str:
         gains.append(weight * (b.plain + LINKED * b.linked))
         costs.append(CROSSING * b.crossed + sum(map(weights.cost, b.tags)))
         left_out.append(skip)
-    begin, end = best_run(gains, costs)
+    begin, end = widened(blocks, *best_run(gains, costs))
     return "\n".join(t for b, skip in zip(blocks[begin:end], left_out[begin:end], strict=True) if not skip and (t := text_of(b)))
 
 

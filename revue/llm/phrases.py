@@ -141,6 +141,8 @@ def _suffixes(block: Block, common: np.ndarray, begin: int, end: int, first: np.
     h3 = np.concatenate([np.zeros(1, T.U), hashes])[third]
     part = (h1 >> T.U(64 - SLICE_BITS)).astype(np.int64)
     group = first[part] + (T.mix(h2) % parts[part].astype(T.U)).astype(np.int64)
+    if not len(leaf):
+        return
     order = np.argsort(group, kind="stable")
     cuts = np.flatnonzero(np.diff(group[order], prepend=-1))
     for at, to in zip(cuts, np.append(cuts[1:], len(order)), strict=True):
