@@ -13,6 +13,7 @@ import itertools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revue.operators.inner_product import top_n
 from revue.operators.positions import dense_index
 
 # Reference workloads (fixed values): batch fit and dashboard fit.
@@ -74,32 +75,34 @@ def predict(model, ratings: DataFrame) -> DataFrame:
     return model.transform(ratings).where(F.col("prediction").isNotNull() & ~F.isnan("prediction"))
 
 
-def _explode_recs(recs: DataFrame, key_idx: str, other_idx: str) -> DataFrame:
-    return recs.select(key_idx, F.posexplode("recommendations").alias("pos", "r")).select(
-        key_idx, F.col(f"r.{other_idx}").alias(other_idx), F.col("r.rating").cast("double").alias("score"),
-        (F.col("pos") + 1).alias("rank"))
-
-
-def recommend_users(model, idx: Indexed, n: int = 10, users: DataFrame | None = None) -> DataFrame:
+def recommend_users(model, idx: Indexed, n: int = 10, users: DataFrame | None = None,
+                    seen: DataFrame | None = None, **limits) -> DataFrame:
     """(user_id, product_id, score, rank) for all users, or the ``users`` frame's user_id set.
 
-    Unknown users drop out at the index join (there is nothing to score).
+    Exact, as scoring every product would be, by ``inner_product.top_n``. ``seen`` (user_id, product_id) leaves pairs out:
+    a user then gets the best ``n`` of the rest. Unknown users drop out at the index join (there is nothing to
+    score). Equal scores are ranked by the product's index.
     """
-    if users is None:
-        recs = model.recommendForAllUsers(n)
-    else:
-        subset = users.select("user_id").distinct().join(idx.users, "user_id").select("user_index")
-        recs = model.recommendForUserSubset(subset, n)
-    flat = _explode_recs(recs, "user_index", "item_index")
-    return (flat.join(idx.users.select("user_id", "user_index"), "user_index")
-                .join(idx.items.select("product_id", "item_index"), "item_index")
+    factors = model.userFactors
+    if users is not None:
+        subset = users.select("user_id").distinct().join(idx.users, "user_id").select(F.col("user_index").alias("id"))
+        factors = factors.join(subset, "id", "left_semi")
+    known_users, known_items = idx.users.select("user_id", "user_index"), idx.items.select("product_id", "item_index")
+    pairs = None
+    if seen is not None:
+        pairs = (seen.select("user_id", "product_id").distinct().join(known_users, "user_id").join(known_items, "product_id")
+                 .select(F.col("user_index").alias("query"), F.col("item_index").alias("point")))
+    best = top_n(factors, model.itemFactors, n, pairs, **limits)
+    return (best.withColumnsRenamed({"query": "user_index", "point": "item_index"})
+                .join(known_users, "user_index").join(known_items, "item_index")
                 .select("user_id", "product_id", "score", "rank"))
 
 
-def recommend_items(model, idx: Indexed, n: int = 10) -> DataFrame:
-    """(product_id, user_id, score, rank): best users for every item."""
-    flat = _explode_recs(model.recommendForAllItems(n), "item_index", "user_index")
-    return (flat.join(idx.items.select("product_id", "item_index"), "item_index")
+def recommend_items(model, idx: Indexed, n: int = 10, **limits) -> DataFrame:
+    """(product_id, user_id, score, rank): best users for every item, exactly; equal scores by the user's index."""
+    best = top_n(model.itemFactors, model.userFactors, n, **limits)
+    return (best.withColumnsRenamed({"query": "item_index", "point": "user_index"})
+                .join(idx.items.select("product_id", "item_index"), "item_index")
                 .join(idx.users.select("user_id", "user_index"), "user_index")
                 .select("product_id", "user_id", "score", "rank"))
 
