@@ -53,3 +53,29 @@ def dense_index(df: DataFrame, order: list[str | Column], out: str = "index",
                 partitions: int | None = None) -> DataFrame:
     """0-based position of every row in ``order`` (a distributed zipWithIndex)."""
     return running_sum(df.withColumn("__one", F.lit(1)), order, "__one", out, partitions).drop("__one")
+
+
+def rank_in_key(df: DataFrame, keys: list[str], order: list[Column], out: str = "rank",
+                partitions: int | None = None) -> DataFrame:
+    """Add ``out`` = 1, 2, ... within each key in ``order``, as ``row_number`` does, with a hot key spread over many tasks.
+
+    Rows are range-partitioned by key and order, so a key with a third of all rows fills a third of the
+    partitions; a window then counts within (partition, key), and what earlier partitions hold of the key is added.
+    Only the last key of a partition can go on in the next one, so those counts are at most two a partition: a
+    bounded broadcast. Nulls are a key of their own. Rows that ``order`` does not tell apart are ranked in
+    any order; they are dealt out by arrival, so they spread, too.
+    """
+    spark = df.sparkSession
+    n = partitions or max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    arrived = df.withColumn("__arrival", F.monotonically_increasing_id())
+    s = arrived.repartitionByRange(n, *keys, *order, "__arrival").withColumn(PID, F.spark_partition_id()).checkpoint(eager=True)
+    key = F.struct(*keys)
+    last = s.groupBy(PID).agg(F.max(key).alias("__k")).select("__k").distinct()  # one row a partition
+    edges = s.select(PID, key.alias("__k")).join(F.broadcast(last), "__k", "left_semi")
+    earlier = Window.partitionBy("__k").orderBy(PID).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = (edges.groupBy(PID, "__k").agg(F.count(F.lit(1)).alias("__n"))
+               .select(F.col(PID).alias("__p"), "__k", F.coalesce(F.sum("__n").over(earlier), F.lit(0)).alias("__off")).where("__off > 0"))
+    counted = s.withColumn("__row", F.row_number().over(Window.partitionBy(PID, *keys).orderBy(*order)))
+    return (counted.join(F.broadcast(offsets), (F.col(PID) == F.col("__p")) & (key == F.col("__k")), "left")
+            .withColumn(out, (F.col("__row") + F.coalesce("__off", F.lit(0))).cast("long"))
+            .drop("__row", "__off", "__k", "__p", "__arrival", PID))

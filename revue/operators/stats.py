@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from revue.fixed import POPULAR_MIN_REVIEWS, TOP_K
 from revue.functions.parse import epoch_to_date, label
 from revue.operators import topk
+from revue.operators.positions import rank_in_key
 
 AVG_DIGITS = 6
 
@@ -81,8 +82,11 @@ def product_stats(reviews: DataFrame) -> DataFrame:
 def _latest(reviews: DataFrame, key: str, cols: list[str], limit: int | None) -> DataFrame:
     # Ordering by every output column makes the kept multiset deterministic.
     order = [F.desc("review_time")] + [F.asc_nulls_last(c) for c in cols if c != "review_time"]
-    out = topk.per_key(reviews.select(key, *[c for c in cols if c != key]), [key], order, limit,
-                       rank_col="rn")
+    rows = reviews.select(key, *[c for c in cols if c != key])
+    if limit is None:  # all rows of a hot key: spread over the tasks
+        out = rank_in_key(rows, [key], order, "rn").withColumn("rn", F.col("rn").cast("int"))
+    else:  # at most ``limit`` rows a key and map task reach the window
+        out = topk.per_key(rows, [key], order, limit, rank_col="rn")
     return out.withColumn("date", epoch_to_date("review_time"))
 
 
