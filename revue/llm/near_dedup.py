@@ -21,8 +21,9 @@ of a bucket; all links within it are found in two steps:
       hash: a node with more new ones than that cannot be linked without.
    b. Or they share none; then all they have in common the hub has too, so both have at least 0.8
       of their shingles from the hub. Only nodes that are not linked to the hub look for such partners.
-   In both cases the kept (and in a. the new) shingles of each, counted in 64 hash classes, bound
-   what the two have in common by the sum of the smaller counts.
+   In both cases each node has a mark of 4,096 bits: every shingle turns one bit over. Bits in which two marks
+   differ are at most the shingles that only one of them has, which bounds what they have in common, closely
+   unless the two differ in thousands.
    A copy that was changed too much to be linked to its hub has too many new shingles for b,
    so it meets only texts with the same changes.
 
@@ -40,10 +41,10 @@ from pyspark.sql import functions as F
 
 from revue.conf import materialize
 from revue.llm import textops as T
-from revue.llm.components import connected_components
+from revue.llm.components import connected_components, lookup
 
 WORDS, SKETCHES, PICKS, SIMILARITY = 5, 32, 3, 0.8
-CLASSES, SALTS = 64, 16
+MARK_WORDS, SALTS = 64, 64
 _TOP = np.uint32(0xFFFFFFFF)
 
 
@@ -195,10 +196,12 @@ def _columns(part: pa.RecordBatch, names: tuple[str, str]) -> list[tuple[list[np
     return out
 
 
-def _classes(sets: list[np.ndarray]) -> pa.Array:
-    """For each set its number of shingles in each of 64 hash classes, one set after the other."""
-    return pa.array(np.concatenate([np.bincount((s >> T.U(58)).astype(np.int64), minlength=CLASSES)
-                                    for s in sets]).astype(np.int32))
+def _marks(sets: list[np.ndarray]) -> pa.Array:
+    """For each set its mark: 64 words in which every element turns over the bit that its hash names."""
+    out = np.zeros((len(sets), MARK_WORDS), T.U)
+    for mark, elements in zip(out, sets, strict=True):
+        np.bitwise_xor.at(mark, (elements >> T.U(58)).astype(np.int64), T.U(1) << (elements >> T.U(52) & T.U(63)))
+    return T.lists(out.ravel(), np.arange(len(sets) + 1) * MARK_WORDS)
 
 
 def _star_batches(similarity: float):
@@ -208,18 +211,14 @@ def _star_batches(similarity: float):
                 part = batch.slice(row, 500)
                 (hubs, hub_sets), (nodes, node_sets) = _columns(part, ("seq_a", "seq_b"))
                 news = [~np.isin(b, a, assume_unique=True) for a, b in zip(hub_sets, node_sets, strict=True)]
-                kept = [b[~new] for b, new in zip(node_sets, news, strict=True)]
-                common = np.array([len(k) for k in kept])
+                common = np.array([len(b) - x.sum() for b, x in zip(node_sets, news, strict=True)], dtype=np.int64)
                 most = [len(b) - int(np.ceil(similarity * len(b) - 1e-9)) + 1 for b in node_sets]
-                fresh = [b[x] for b, x in zip(node_sets, news, strict=True)]
-                new = [f[:k] for f, k in zip(fresh, most, strict=True)]
-                steps = pa.array((np.arange(len(nodes) + 1) * CLASSES).astype(np.int32))
+                new = [b[x][:k] for b, x, k in zip(node_sets, news, most, strict=True)]
                 yield pa.RecordBatch.from_arrays(
                     [part.column("a"), part.column("b"), pa.array(alike(list(zip(hubs, nodes, strict=True)), common, similarity)),
-                     pa.array([len(b) for b in nodes], pa.int64()), pa.array(common),
-                     pa.ListArray.from_arrays(steps, _classes(kept)), pa.ListArray.from_arrays(steps, _classes(fresh)),
+                     pa.array([len(b) for b in nodes], pa.int64()), pa.array(common), _marks(node_sets),
                      T.lists(np.concatenate([np.zeros(0, T.U), *new]), np.concatenate([[0], np.cumsum([len(x) for x in new])]))],
-                    ["a", "b", "linked", "n", "common", "kept", "fresh", "new"])
+                    ["a", "b", "linked", "n", "common", "mark", "new"])
     return run
 
 
@@ -240,30 +239,26 @@ def _across(tested: DataFrame, comps: DataFrame, similarity: float) -> DataFrame
     """Pairs (a, b) of nodes of one hub in different components whose bounds allow a link (step 2)."""
     nodes = materialize(tested.join(comps.withColumnRenamed("node", "b"), "b", "left")
                         .select(F.col("a").alias("hub"), F.col("b").alias("node"), F.coalesce("comp", "b").alias("comp"),
-                                "linked", "n", "common", "kept", "fresh", "new"), "omh-nodes-of-hubs")
+                                "linked", "n", "common", "mark", "new"), "omh-nodes-of-hubs")
 
     def side(df: DataFrame, k: str, *names: str) -> DataFrame:
-        return df.select("hub", *names, *[F.col(c).alias(c + k) for c in ("node", "comp", "n", "kept", "fresh")])
-
-    def at_most(name: str) -> Column:
-        """Upper bound of the shingles that both sides hold, from the counts of each hash class."""
-        return F.aggregate(F.zip_with(name + "x", name + "y", lambda a, b: F.least(a, b)), F.lit(0), lambda t, k: t + k)
+        return df.select("hub", *names, *[F.col(c).alias(c + k) for c in ("node", "comp", "n", "mark")])
 
     need = F.lit(similarity) * F.greatest("nx", "ny") - F.lit(1e-9)
-    fits = (F.col("compx") != F.col("compy")) & (F.least("nx", "ny") >= need)
+    differ = F.aggregate(F.zip_with("markx", "marky", lambda a, b: F.bit_count(a.bitwiseXOR(b))), F.lit(0), lambda t, k: t + k)
+    fits = ((F.col("compx") != F.col("compy")) & (F.least("nx", "ny") >= need)
+            & (F.col("nx") + F.col("ny") - differ >= 2 * need))
 
-    new = nodes.select("*", F.explode("new").alias("s"))
+    new = nodes.select("*", F.explode("new").alias("s")).drop("new")
     split = new.groupBy("hub", "s").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo <> hi")
     open_ = new.join(split.select("hub", "s"), ["hub", "s"])
     by_new = (side(open_, "x", "s").join(side(open_, "y", "s"), ["hub", "s"])
-              .where((F.col("nodex") < F.col("nodey")) & fits & (at_most("kept") + at_most("fresh") >= need))
-              .select("nodex", "nodey"))
+              .where((F.col("nodex") < F.col("nodey")) & fits).select("nodex", "nodey"))
 
-    whole = nodes.where(F.col("common") >= F.lit(similarity) * F.col("n") - F.lit(1e-9))
+    whole = nodes.where(F.col("common") >= F.lit(similarity) * F.col("n") - F.lit(1e-9)).drop("new")
     salted = whole.withColumn("salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
     apart = whole.where(~F.col("linked")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    by_kept = (side(apart, "x", "salt").join(side(salted, "y", "salt"), ["hub", "salt"])
-               .where(fits & (at_most("kept") >= need)).select("nodex", "nodey"))
+    by_kept = (side(apart, "x", "salt").join(side(salted, "y", "salt"), ["hub", "salt"]).where(fits).select("nodex", "nodey"))
     pairs = by_new.union(by_kept)
     return pairs.select(F.least("nodex", "nodey").alias("a"), F.greatest("nodex", "nodey").alias("b")).distinct()
 
@@ -274,8 +269,9 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
 
     ``class_id`` is the smallest id of the connected component of links, ``kept`` is
     set for that id. A text without words (null, empty, punctuation only) is alone in its class.
-    A row with a null id has a null class and is kept. Ids name texts: repeated rows of an id get the same class and flag. An empty
-    table gives an empty result. Other columns of ``df`` are not read.
+    A row with a null id has a null class and is kept. Ids name documents: repeated rows of an id get the same class and
+    flag; one with several texts is compared by the greatest of them. Texts of any length are whole; two near ones of n words
+    that differ in d cost n * d steps in one task. An empty table gives an empty result. Other columns of ``df`` are not read.
     """
     spark = df.sparkSession
     kind = df.schema[id_col].dataType.simpleString()
@@ -294,18 +290,17 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
     hubs = weighed.groupBy("key").agg(F.min(F.struct((-F.col("weight")).alias("w"), "node")).alias("h"))
     stars = (shared.join(hubs.select("key", F.col("h.node").alias("a")), "key").where("a <> node")
              .select("a", F.col("node").alias("b")).distinct())
-    seqs = materialize(texts.join(central.select(F.col("node").alias("id")), "id", "left_semi").dropDuplicates(["id"])
-                       .mapInArrow(_shingle_batches(words), f"id {kind}, seq array<long>"), "omh-sequences")
+    seqs = materialize(texts.join(central.select(F.col("node").alias("id")), "id", "left_semi")
+                       .groupBy("id").agg(F.max("t").alias("t")).mapInArrow(_shingle_batches(words), f"id {kind}, seq array<long>"), "omh-sequences")
 
     def with_sequences(pairs: DataFrame) -> DataFrame:
-        for side in "ab":
-            pairs = pairs.join(seqs.select(F.col("id").alias(side), F.col("seq").alias(f"seq_{side}")), side)
-        return pairs.select("a", "b", "seq_a", "seq_b")
+        """Both sequences of each pair. A hub has as many rows as copies, so they are dealt out by a salt as well."""
+        pairs = lookup(pairs, "a", "b", seqs.select("id", F.col("seq").alias("seq_a")), "id")
+        return pairs.join(seqs.select(F.col("id").alias("b"), F.col("seq").alias("seq_b")), "b").select("a", "b", "seq_a", "seq_b")
 
     tested = materialize(with_sequences(stars).mapInArrow(
         _star_batches(similarity),
-        f"a {kind}, b {kind}, linked boolean, n long, common long, kept array<int>, "
-        "fresh array<int>, new array<long>"), "omh-stars")
+        f"a {kind}, b {kind}, linked boolean, n long, common long, mark array<long>, new array<long>"), "omh-stars")
     links = tested.where("linked").select("a", "b")
     across = _across(tested, connected_components(links), similarity)
     more = with_sequences(across).mapInArrow(_pair_batches(similarity), f"a {kind}, b {kind}")
