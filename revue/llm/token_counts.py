@@ -3,13 +3,14 @@
 A pre-token is a run of characters other than space and tab to carriage return, after
 the mark U+2581. Its tokens are the segmentation into pieces of the vocabulary with the highest sum of log
 probabilities (of equal sums, the one with fewer tokens); a character that is no piece is spelt in byte
-pieces. Tokenizers are not trained: the log probabilities are Zipf's law over the piece numbers,
+pieces. Only ordinary pieces are matched with text: ``<s>`` or ``<0x41>`` in a text is spelt like any other. Tokenizers are not trained: the log probabilities are Zipf's law over the piece numbers,
 which a BPE vocabulary gives in the order of usefulness.
 
 The forward score of a prefix (best sum up to its last character, and its tokens) depends on the
 prefix alone. Distinct pre-tokens go into a trie, so it is computed once for each shared prefix
 and kept at its node; the last node of a pre-token is its terminal, whose count is stored. Texts are handled in
-blocks: only pre-tokens without a stored count touch the trie. Both tables are bounded and begin anew when
+blocks: only pre-tokens without a stored count touch the trie. The trie is ``DEPTH`` characters deep; the forward
+scores of what follows in a longer pre-token go on from its node without being kept. Both tables are bounded and begin anew when
 full, which costs time but changes no result. Documents are not shuffled.
 """
 
@@ -25,50 +26,65 @@ from pyspark.sql import functions as F
 
 from revue.llm import textops as T
 
-BLOCK, NODES_MOST, KNOWN_MOST, LONG = 4 << 20, 1_000_000, 2_000_000, 512
+BLOCK, NODES_MOST, KNOWN_MOST, DEPTH = 4 << 20, 1_000_000, 2_000_000, 64
 MARK = "▁"
 ZIPF_SHIFT = 2.7
 _INSIDE = np.array([b != 32 and not 9 <= b <= 13 for b in range(256)])
 
 
 class Unigram:
-    """Log probabilities of pieces, and of characters spelt in byte pieces."""
+    """Log probabilities of pieces, and of characters spelt in byte pieces.
 
-    def __init__(self, pieces: list[str]):
+    ``pieces`` by number: a string is matched with text, an integer is the piece of that byte, None is never used.
+    """
+
+    def __init__(self, pieces: list[str | int | None]):
         total = math.log(sum(1 / (k + ZIPF_SHIFT) for k in range(len(pieces))))
-        self.score = {p: -math.log(k + ZIPF_SHIFT) - total for k, p in enumerate(pieces)}
-        self.longest = max((len(p) for p in pieces), default=1)
+        score = {p: -math.log(k + ZIPF_SHIFT) - total for k, p in enumerate(pieces)}
+        self.score = {p: s for p, s in score.items() if isinstance(p, str)}
+        self.byte = {p: s for p, s in score.items() if isinstance(p, int)}
+        self.longest = max((len(p) for p in self.score), default=1)
         self.floor = -math.log(len(pieces) + ZIPF_SHIFT) - total
         self.spelt: dict[str, tuple[float, int]] = {}
+        lengths: dict[str, set[int]] = {}
+        for piece in self.score:
+            if len(piece) > 1:
+                lengths.setdefault(piece[-2:], set()).add(len(piece))
+        #: Lengths of the pieces that end in two given characters.
+        self.lengths = {end: tuple(sorted(found)) for end, found in lengths.items()}
 
     def spell(self, char: str) -> tuple[float, int]:
         if char not in self.spelt:
             raw = char.encode()
-            self.spelt[char] = sum(self.score.get(f"<0x{b:02X}>", self.floor) for b in raw), len(raw)
+            self.spelt[char] = sum(self.byte.get(b, self.floor) for b in raw), len(raw)
         return self.spelt[char]
 
     def forward(self, word: str, end: int, earlier: list[tuple[float, int]]) -> tuple[float, int]:
         """Best (score, -tokens) of ``word[:end]``; ``earlier`` holds those of the prefixes before, the last one last."""
-        best = None
-        for size in range(1, min(self.longest, end, len(earlier)) + 1):
-            piece = word[end - size:end]
-            score, tokens = self.score.get(piece), 1
-            if score is None:
-                if size > 1:
-                    continue
-                score, tokens = self.spell(piece)
-            before = earlier[-size]
-            here = before[0] + score, before[1] - tokens
-            if best is None or here > best:
-                best = here
+        char = word[end - 1]
+        score = self.score.get(char)
+        before = earlier[-1]
+        if score is None:
+            score, tokens = self.spell(char)
+            best = before[0] + score, before[1] - tokens
+        else:
+            best = before[0] + score, before[1] - 1
+        for size in self.lengths.get(word[end - 2:end], ()) if end > 1 else ():
+            if size > end:
+                break
+            score = self.score.get(word[end - size:end])
+            if score is not None:
+                before = earlier[-size]
+                here = before[0] + score, before[1] - 1
+                if here > best:
+                    best = here
         return best
 
-    def plain(self, word: str) -> tuple[float, int]:
-        """Best (score, tokens) of a word, without the trie; keeps no more than the longest piece needs."""
-        line = [(0.0, 0)]
-        for end in range(1, len(word) + 1):
+    def go_on(self, word: str, line: list[tuple[float, int]]) -> tuple[float, int]:
+        """Best (score, tokens) of a word from the forward scores of its first characters; keeps the last ones only."""
+        for end in range(len(line), len(word) + 1):
             line.append(self.forward(word, end, line))
-            if len(line) > 2 * self.longest + 2:
+            if len(line) > 4 * self.longest + 4 * DEPTH:
                 del line[:-self.longest - 1]
         return line[-1][0], -line[-1][1]
 
@@ -86,12 +102,10 @@ class Trie:
 
     def insert(self, word: str) -> tuple[float, int]:
         """(score, tokens) of a word; only prefixes that no word before had are computed."""
-        if len(word) > LONG:
-            return self.model.plain(word)
-        if len(self.node) + len(word) > self.most:
+        if len(self.node) + DEPTH > self.most:
             self._clear()
         at, line, node, child = 0, [self.node[0]], self.node, self.child
-        for end, char in enumerate(word, 1):
+        for end, char in enumerate(word[:DEPTH], 1):
             key = (at << 21) | ord(char)
             to = child.get(key)
             if to is None:
@@ -99,13 +113,13 @@ class Trie:
                 node.append(self.model.forward(word, end, line))
             at = to
             line.append(node[at])
-        return line[-1][0], -line[-1][1]
+        return self.model.go_on(word, line)
 
 
 class Counter:
     """Tokens of texts; remembers the terminal counts of at most ``most`` pre-tokens."""
 
-    def __init__(self, pieces: list[str], nodes: int = NODES_MOST, most: int = KNOWN_MOST):
+    def __init__(self, pieces: list[str | int | None], nodes: int = NODES_MOST, most: int = KNOWN_MOST):
         self.trie, self.most = Trie(Unigram(pieces), nodes), most
         self._forget()
 
@@ -137,11 +151,16 @@ class Counter:
         return np.diff(first), tokens.astype(np.int64), score.astype(float)
 
 
-def pieces_of(path: str) -> list[str]:
-    """Pieces of a sentencepiece vocabulary file, by number."""
+def pieces_of(path: str) -> list[str | int | None]:
+    """Pieces of a sentencepiece vocabulary file by number: text, the byte that one stands for, or None for markers."""
     import sentencepiece
     model = sentencepiece.SentencePieceProcessor(model_file=path)
-    return [model.id_to_piece(k) for k in range(model.get_piece_size())]
+
+    def piece(k: int) -> str | int | None:
+        if model.is_byte(k):
+            return int(model.id_to_piece(k)[3:5], 16)
+        return None if model.is_control(k) or model.is_unknown(k) or model.is_unused(k) else model.id_to_piece(k)
+    return [piece(k) for k in range(model.get_piece_size())]
 
 
 _COUNTERS: dict[str, Counter] = {}

@@ -431,6 +431,38 @@ def test_token_counts_equal_brute_force(spark, small, messy, empty):
     assert token_counts.token_counts(empty, PIECES).count() == 0
 
 
+def test_markers_in_a_text_are_spelt():
+    """Against a segmentation that asks the library what a piece is."""
+    import sentencepiece
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    total = np.log(sum(1 / (k + token_counts.ZIPF_SHIFT) for k in range(32000)))
+    log_prob = lambda k: float(-np.log(k + token_counts.ZIPF_SHIFT) - total)
+
+    def plain(word):
+        line = [(0.0, 0)]
+        for end in range(1, len(word) + 1):
+            options = []
+            for start in range(end):
+                k = library.piece_to_id(word[start:end])
+                marker = library.is_unknown(k) or library.is_control(k) or library.is_byte(k) or library.is_unused(k)
+                if not marker:
+                    options.append((line[start][0] + log_prob(k), line[start][1] - 1))
+                elif end - start == 1:
+                    raw = word[start].encode()
+                    ids = [library.piece_to_id(f"<0x{b:02X}>") for b in raw]
+                    options.append((line[start][0] + sum(map(log_prob, ids)), line[start][1] - len(raw)))
+            line.append(max(options))
+        return line[-1][0], -line[-1][1]
+
+    counter = token_counts.Counter(token_counts.pieces_of(PIECES))
+    for text in ("<unk><unk>", "<0x41>", "<s>", "</s>", "a<s>b</s>", "<unk>", "日本 <0x0A> é", "plain words", "\U0001F600x"):
+        data, offsets = T.buffers(pa.array([text]))
+        words = [plain(token_counts.MARK + w) for w in text.split()]
+        _, tokens, score = counter.block(data, offsets)
+        assert tokens[0] == sum(w[1] for w in words) and score[0] == pytest.approx(sum(w[0] for w in words)), text
+        assert tokens[0] > len(words) or "<" not in text
+
+
 def test_trie_limits_change_nothing():
     pieces = token_counts.pieces_of(PIECES)
     rng = random.Random(7)
