@@ -22,8 +22,8 @@ from revue.llm.prefix import running_total, seeded_key
 
 #: Fixed value: white space of the word count (space, tab to carriage return).
 BLANKS = " \t\n\x0b\f\r"
-#: A table of sources is broadcast up to this many rows (a name and a few numbers each).
-SMALL_SOURCES = 10_000
+#: So many of the largest sources are broadcast (a name and a few numbers each); any other has less than this share of the rows.
+LARGE_SOURCES = 10_000
 
 
 def word_count(text: Column) -> Column:
@@ -112,21 +112,25 @@ def mixed_rows(df: DataFrame, weights: DataFrame | list[float], share: float = 1
     """The rows of ``df``, whole, each as often as ``mix`` takes it.
 
     The extra rows of a source are those up to a last one in its seeded order, so one row per source
-    (whole repetitions, last extra row) decides, and texts are not shuffled. That table is
-    broadcast if it has at most ``SMALL_SOURCES`` rows, else joined as Spark sees fit. Rows that repeat an
+    (whole repetitions, last extra row) decides. The ``LARGE_SOURCES`` largest sources are broadcast, and their
+    texts are not shuffled; rows of the others, each a tiny part of all, are joined by source. Rows that repeat an
     id, size and source are taken alike.
     """
     at = F.struct(F.col("_key").alias("k"), F.col("id").alias("i"), F.col("size").alias("s"))
     cuts = materialize(_planned(df, weights, share, max_epochs, seed, id_col, source_col, text_col)
-                       .groupBy("src").agg(F.max("whole").alias("whole"), F.max(F.when(F.col("extra"), at)).alias("last")),
-                       "mix-cuts").select(F.col("src").alias("c_src"), F.col("whole").alias("c_whole"),
-                                          F.col("last").alias("c_last"))
-    if cuts.limit(SMALL_SOURCES + 1).count() <= SMALL_SOURCES:
-        cuts = F.broadcast(cuts)
+                       .groupBy("src").agg(F.max("whole").alias("c_whole"), F.max(F.when(F.col("extra"), at)).alias("c_last"),
+                                           F.count(F.lit(1)).alias("rows")), "mix-cuts").withColumnRenamed("src", "c_src")
+    order = [F.desc("rows"), F.col("c_src").asc_nulls_last()]
+    large = cuts.orderBy(*order).limit(LARGE_SOURCES).drop("rows")
     here = F.struct(seeded_key(id_col, seed).alias("k"), F.col(id_col).alias("i"), word_count(F.col(text_col)).alias("s"))
     names = [F.col(c) for c in df.columns]
     wide = df.select(F.struct(*names).alias("row"), F.col(source_col).alias("r_src"), here.alias("here"))
+    same = F.col("r_src").eqNullSafe(F.col("c_src"))
+    found = wide.join(F.broadcast(large), same)
+    small = cuts.orderBy(*order).offset(LARGE_SOURCES).drop("rows")
+    if not small.isEmpty():  # else there is nothing to join
+        found = found.union(wide.join(small, same))
     times = F.col("c_whole") + F.coalesce(F.col("here") <= F.col("c_last"), F.lit(False)).cast("long")
-    return (wide.join(cuts, F.col("r_src").eqNullSafe(F.col("c_src"))).withColumn("times", times.cast("int"))
+    return (found.withColumn("times", times.cast("int"))
             .where("times > 0").select("row", F.explode(F.array_repeat(F.lit(0), F.col("times"))).alias("copy"))
             .select("row.*"))

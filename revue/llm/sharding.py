@@ -61,15 +61,38 @@ def interleave(df: DataFrame, shards: int, seed: str = "shard", id_col: str = "d
                      F.expr(f"pos - (shard * total + {shards - 1}) div {shards}").alias("slot"))
 
 
+def place(df: DataFrame, shards: int, seed: str = "shard", id_col: str = "doc_id",
+          source_col: str = "source", text_col: str = "text") -> DataFrame:
+    """The rows of ``df``, whole, with shard, slot and copy (1, 2, ... among rows equal in id, source and text).
+
+    Such rows, as mixing makes them, get different slots; rows with a null id, source or text are placed like
+    any other. Columns of ``df`` named shard, slot or copy are replaced. Texts are shuffled once. An empty
+    table gives an empty result.
+    """
+    def named(name: str) -> Column:  # never null, so that one hash partitioning serves the join and the window
+        return F.concat(F.when(F.col(name).isNull(), F.lit("0")).otherwise("1"), F.coalesce(F.col(name).cast("string"), F.lit("")))
+
+    key = ["_i", "_s", "_n", "_c"]
+    plan = interleave(df, shards, seed, id_col, source_col, text_col)
+    places = (plan.select(named(id_col).alias("_i"), named(source_col).alias("_s"), F.col("size").alias("_n"),
+                          F.col("text_crc32").alias("_c"), F.struct("shard", "slot").alias("p"))
+              .groupBy(*key).agg(F.sort_array(F.collect_list("p")).alias("_places")))
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns if c not in ("shard", "slot", "copy")]).alias("_row"),
+                     named(id_col).alias("_i"), named(source_col).alias("_s"),
+                     (F.octet_length(text) + 1).cast("long").alias("_n"), F.crc32(text.cast("binary")).alias("_c"))
+    nth = F.row_number().over(Window.partitionBy(*key).orderBy(F.xxhash64("_row")))
+    return (rows.join(places.hint("merge"), key).withColumn("copy", nth)
+            .withColumn("_place", F.element_at("_places", F.col("copy")))
+            .select("_row.*", F.col("_place.shard").alias("shard"), F.col("_place.slot").alias("slot"), "copy"))
+
+
 def write_shards(df: DataFrame, path: str, shards: int, seed: str = "shard", id_col: str = "doc_id",
                  source_col: str = "source", text_col: str = "text", piece: int = 100_000) -> None:
     """Write whole rows of ``df`` as ``path/shard=N/``, in files of ``piece`` slots, each ordered by slot.
 
-    Ids must be unique; rows with a null id are not written. A column named ``shard`` is replaced.
+    All rows are written, repeated ones and those with null ids too. Columns named shard, slot and copy are replaced.
     """
-    plan = interleave(df, shards, seed, id_col, source_col, text_col).select(
-        F.col(id_col).alias("_id"), "shard", "slot", F.expr(f"slot div {piece}").alias("_piece"))
-    rows = df.drop("shard").select(F.struct("*").alias("_row"))
-    (rows.join(plan, F.col("_row")[id_col] == F.col("_id"))
-     .repartition("shard", "_piece").sortWithinPartitions("shard", "slot").select("_row.*", "shard")
+    rows = place(df, shards, seed, id_col, source_col, text_col).withColumn("_piece", F.expr(f"slot div {piece}"))
+    (rows.repartition("shard", "_piece").sortWithinPartitions("shard", "slot").drop("_piece")
      .write.partitionBy("shard").parquet(path))

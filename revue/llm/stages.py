@@ -1,7 +1,9 @@
 """Stages of the corpus pipeline; each takes (spark, docs, sf_dir) and returns a DataFrame.
 
-All but the last return the columns of ``docs``, whole rows. Near-dedup drops rows by
-doc_id, which names a document; rows with a null doc_id are kept there.
+All return whole rows: the columns of ``docs``, and the last one shard, slot and copy as well. Extra
+columns pass through, an empty table gives an empty result, and texts of any length are read whole. Near-dedup drops
+rows by doc_id, which names a document; rows with a null doc_id are kept there. Null and empty texts have no language and
+go in the first stage. Repeated rows and ties are treated alike, so a rerun gives the same rows.
 """
 
 from __future__ import annotations
@@ -35,8 +37,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every copy's shard and slot."""
-    return sharding.interleave(docs, SHARDS)
+    """Whole rows, every copy with its shard, slot and number among the copies of its document."""
+    return sharding.place(docs, SHARDS)
 
 
 STAGES = [("language-id", language), ("near-dedup", near_duplicates), ("decontamination", benchmark),

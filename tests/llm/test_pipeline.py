@@ -54,3 +54,30 @@ def test_stages_keep_columns_and_clean_documents(spark, messy, empty):
     kept = stages.near_duplicates(spark, messy, SMALL)
     dropped = near_dedup.near_dedup(messy).where("not kept").count()
     assert kept.count() == messy.count() - dropped
+
+
+def test_written_shards_hold_the_mix_with_its_repeats(spark, messy, small):
+    from collections import Counter
+
+    from revue.conf import scratch_path
+    from revue.llm import sharding
+    docs = small.limit(60).unionByName(small.limit(60)).unionByName(small.where("doc_id < 3").selectExpr(
+        "cast(null as long) as doc_id", "text", "lang", "source", "n_chars"))
+    mixed = mixing.mixed_rows(docs, stages.MIX_CYCLE, stages.MIX_SHARE, stages.MIX_EPOCHS)
+    for df, shards in ((mixed, 5), (messy.drop("shard", "slot", "copy"), 3)):
+        path = scratch_path(spark, "shards")
+        sharding.write_shards(df, path, shards)
+        back = spark.read.parquet(path)
+        assert set(back.columns) == {*df.columns, "shard", "slot", "copy"}
+        assert Counter(map(tuple, back.select(df.columns).collect())) == Counter(map(tuple, df.collect()))
+        places = [(r["shard"], r["slot"]) for r in back.collect()]
+        assert len(set(places)) == len(places)
+        plan = sharding.interleave(df, shards)
+        assert Counter((r["doc_id"], r["source"], r["shard"], r["slot"]) for r in plan.collect()) == Counter(
+            (r["doc_id"], r["source"], r["shard"], r["slot"]) for r in back.collect())
+
+
+def test_sources_beyond_the_broadcast_ones_are_mixed_alike(spark, small, monkeypatch):
+    want = sorted(map(repr, mixing.mixed_rows(small, [5.0, 2.0, 1.0], 1.5).collect()))
+    monkeypatch.setattr(mixing, "LARGE_SOURCES", 3)
+    assert sorted(map(repr, mixing.mixed_rows(small, [5.0, 2.0, 1.0], 1.5).collect())) == want
