@@ -13,6 +13,7 @@ import itertools
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from revue.operators.fold_in import fold_in
 from revue.operators.inner_product import top_n
 from revue.operators.positions import dense_index
 
@@ -98,6 +99,25 @@ def recommend_users(model, idx: Indexed, n: int = 10, users: DataFrame | None =
                 .select("user_id", "product_id", "score", "rank"))
 
 
+def recommend_new_users(model, idx: Indexed, ratings: DataFrame, n: int = 10, reg: float = DASHBOARD["regParam"],
+                        nonnegative: bool = True, seen: DataFrame | None = None, **limits) -> DataFrame:
+    """(user_id, product_id, score, rank) for users whom the model does not know, from their ``ratings``.
+
+    Their factors are those that ALS would give them with the model's item factors kept (``fold_in``). Users of
+    the index, and those without a rating of a known product, have no rows. ``seen`` as in ``recommend_users``.
+    """
+    items = idx.items.select("product_id", "item_index")
+    new = (ratings.where(F.col("rating").isNotNull() & ~F.isnan("rating")).join(idx.users.select("user_id"), "user_id", "left_anti")
+           .join(items, "product_id").select(F.col("user_id").alias("user"), F.col("item_index").alias("item"), "rating"))
+    factors = fold_in(new, model.itemFactors, model.rank, reg, nonnegative)
+    pairs = None
+    if seen is not None:
+        pairs = seen.join(items, "product_id").select(F.col("user_id").alias("query"), F.col("item_index").alias("point"))
+    best = top_n(factors, model.itemFactors, n, pairs, **limits)
+    return (best.withColumnsRenamed({"query": "user_id", "point": "item_index"}).join(items, "item_index")
+                .select("user_id", "product_id", "score", "rank"))
+
+
 def recommend_items(model, idx: Indexed, n: int = 10, **limits) -> DataFrame:
     """(product_id, user_id, score, rank): best users for every item, exactly; equal scores by the user's index."""
     best = top_n(model.itemFactors, model.userFactors, n, **limits)

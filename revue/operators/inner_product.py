@@ -152,7 +152,7 @@ def top_n(queries: DataFrame, points: DataFrame, n: int, exclude: DataFrame | No
           round_bytes: int = ROUND_BYTES, block: int = BLOCK) -> DataFrame:
     """(query, point, score, rank): the ``n`` points of largest inner product for every query, exactly.
 
-    ``queries`` and ``points`` are (id, features array<float>) with unique ids; ``exclude`` (query, point) holds
+    ``queries`` and ``points`` are (id, features array<float>) with unique ids, numbers for points; ``exclude`` (query, point) holds
     pairs to leave out. Scores are 32-bit floats as doubles, equal ones are ranked by the point's id. A query
     gets fewer rows only if fewer points are left.
 
@@ -164,15 +164,16 @@ def top_n(queries: DataFrame, points: DataFrame, n: int, exclude: DataFrame | No
     shape = ordered.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("features")).alias("dim")).first()
     total, dim = shape["n"], shape["dim"]
     if not total:
-        return spark.createDataFrame([], "query long, point long, score double, rank int")
+        return spark.createDataFrame([], f"query {queries.schema['id'].dataType.simpleString()}, point long, score double, rank int")
     per_round = max(1, round_bytes // (8 * dim + 8))
     rounds = max(1, -(-total // per_round))
     rests = _rests(ordered, per_round, rounds)
     none = lambda kind: F.array().cast(f"array<{kind}>")
-    open_ = queries.select(F.col("id").cast("long").alias("query"), "features", none("bigint").alias("points"),
+    kind = queries.schema["id"].dataType.simpleString()
+    open_ = queries.select(F.col("id").alias("query"), "features", none("bigint").alias("points"),
                            none("float").alias("scores"))
     if exclude is not None:
-        places = materialize(exclude.select(F.col("query").cast("long").alias("query"), F.col("point").cast("long").alias("id"))
+        places = materialize(exclude.select(F.col("query").cast(kind).alias("query"), F.col("point").cast("long").alias("id"))
                              .distinct().join(ordered.select("id", "pos"), "id").select("query", "pos"), "excluded-places")
     done = None
     for r in range(rounds):
@@ -187,7 +188,7 @@ def top_n(queries: DataFrame, points: DataFrame, n: int, exclude: DataFrame | No
                     .agg(F.collect_list(F.col("pos") - begin).alias("seen")))
             asked = open_.join(seen, "query", "left")
         found = asked.select("query", "features", "points", "scores", "seen").mapInArrow(
-            _search_batches(shared, n), "query long, features array<float>, points array<long>, scores array<float>, open boolean")
+            _search_batches(shared, n), f"query {kind}, features array<float>, points array<long>, scores array<float>, open boolean")
         if rounds > 1:
             found = materialize(found, "top-n-round")
         closed = found.where("not open").select("query", "points", "scores")

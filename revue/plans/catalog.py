@@ -398,6 +398,31 @@ def q_lsh_similar_items(spark, sf):
     return SIM.lsh_similar_items(catalog(spark, sf))
 
 
+MEMBERS_CTE = """,
+ cl as (select product_id, string_agg(w || ':' || tf, ' ' order by w) as cls from wt where w in (select w from dfq) group by 1),
+ mem as (select c.product_id, min(c.product_id) over (partition by coalesce(cls, ''), sp) as class_id
+  from c left join cl on c.product_id = cl.product_id)"""
+
+
+@query("similar_classes", O.with_clean(SIMITEMS_CTE + MEMBERS_CTE + """
+ select distinct product1, class_id, similarity, cast(rk as int) as rank from simitems join mem on product2 = product_id"""))
+def q_similar_classes(spark, sf):
+    """The lists of ``similar_items`` with one row per class of copies."""
+    return class_rows(spark, sf)
+
+
+@query("similar_members", O.with_clean(SIM_CTES + MEMBERS_CTE + " select class_id, product_id from mem"))
+def q_similar_members(spark, sf):
+    return _sim_index(spark, sf).members()
+
+
+@query("similar_classes_expanded", O.with_clean(
+    SIMITEMS_CTE + " select product1, product2, similarity, cast(rk as int) as rank from simitems"))
+def q_similar_classes_expanded(spark, sf):
+    """Product pairs from the class rows: the rows of ``similar_items``."""
+    return SIM.expand(class_rows(spark, sf), _sim_index(spark, sf).members())
+
+
 # ---------------------------------------------------------------- recommendations
 
 from revue.operators import als as ALS  # noqa: E402
@@ -414,13 +439,26 @@ CONTENT_CTES = SIMTOP_CTE + """,
  crk as (select *, cast(row_number() over (partition by user_id order by total_score desc, product_id) as int) as rank from cr)"""
 
 
+def _sim_index(spark, sf):
+    """Features, classes and positions: one similarity index per session."""
+    from revue.plans.stages import shared
+    return shared(spark, sf, FACT_TABLES, "simindex", (0.1,),
+                  lambda: SIM.SimilarityIndex(catalog(spark, sf)), table=False)
+
+
 def sims(spark, sf, ties: str = "rank"):
-    """The similar-item table: a stage table. Both tie modes share one similarity index
-    (features, classes, positions) per session; recommendations use "row_number", k rows a product."""
+    """The similar-item table: a stage table. Recommendations use "row_number", k rows a product."""
+    from revue.plans.stages import shared
+    build = {"row_number": lambda: _sim_index(spark, sf).top_k(ties=ties),
+             "rank": lambda: SIM.expand(class_rows(spark, sf), _sim_index(spark, sf).members())}[ties]
+    return shared(spark, sf, FACT_TABLES, "simitems", (ties,), build)
+
+
+def class_rows(spark, sf):
+    """The similar-item table with rank ties as links from products to classes of copies: a stage table."""
     from revue.plans.stages import shared
-    index = shared(spark, sf, FACT_TABLES, "simindex", (0.1,),
-                   lambda: SIM.SimilarityIndex(catalog(spark, sf)), table=False)
-    return shared(spark, sf, FACT_TABLES, "simitems", (ties,), lambda: index.top_k(ties=ties))
+    return shared(spark, sf, FACT_TABLES, "simclasses", (),
+                  lambda: _sim_index(spark, sf).class_rows(top=sims(spark, sf, "row_number")))
 
 
 def content_top(spark, sf, n: int = 20):
