@@ -6,6 +6,9 @@ category closes it. A capture is evaluated against the entries whose interval ho
 its fetch date. An entry is a host ("bad.example.org"), which covers its subdomains,
 or a host with a path prefix ("bad.example.org/en"), which covers whole path segments.
 
+A URL is looked up by its host suffixes with as many labels, and its path prefixes with as many segments, as some
+listed entry has, so a URL of a hundred thousand segments has no more keys than a short one.
+
 Hot hosts: captures are first reduced to distinct (URL, date), their lookup keys to
 distinct (key, date), and only those meet the intervals. The decisions, which are few,
 are replicated over ``salts`` and joined back to salted rows, so a host with a third of
@@ -17,6 +20,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from revue.conf import materialize
+
 SALTS = 16
 #: What a capture's decision is called.
 ALLOW, BLOCK = "allow", "block"
@@ -45,24 +50,33 @@ def intervals(events: DataFrame) -> DataFrame:
 
 
 def host_of(url: Column) -> Column:
-    """Lower-case host without user, port and trailing dot; null if the URL has none."""
-    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)", 1))
-    host = F.regexp_replace(host, r"\.+$", "")
+    """Lower-case host without user, port and trailing dots; null if the URL has none. An IPv6 address keeps its brackets."""
+    host = F.lower(F.regexp_extract(url, r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?(\[[^\]/?#]*\]|[^/?#:\[]+)", 1))
+    host = F.rtrim(host, F.lit("."))
     return F.when(host != "", host)
 
 
 def path_of(url: Column) -> Column:
     """Lower-case path without query, fragment and slashes at its ends."""
-    return F.lower(F.regexp_replace(F.regexp_extract(url, r"^[^/?#]*//[^/?#]*([^?#]*)", 1), "^/+|/+$", ""))
+    return F.lower(F.btrim(F.regexp_extract(url, r"^[^/?#]*//[^/?#]*([^?#]*)", 1), F.lit("/")))
+
+
+def entry_shapes(entries: DataFrame) -> tuple[list[int], list[int]]:
+    """The numbers of host labels and of path segments that entries have."""
+    parts = F.split("entry", "/")
+    found = entries.agg(F.array_sort(F.collect_set(F.size(F.split(parts[0], r"\.")))).alias("labels"),
+                        F.array_sort(F.collect_set(F.size(parts) - 1)).alias("segments")).first()
+    return found["labels"], found["segments"]
 
 
-def lookup_keys(host: Column, path: Column) -> Column:
-    """All entries that would cover the URL: host suffixes, each alone and with every path prefix."""
-    labels = F.split(host, r"\.")
-    hosts = F.transform(F.sequence(F.lit(1), F.size(labels)),
-                        lambda k: F.array_join(F.slice(labels, k, F.size(labels)), "."))
-    segments = F.when(path == "", F.array().cast("array<string>")).otherwise(F.split(path, "/+"))
-    prefixes = F.transform(F.sequence(F.lit(0), F.size(segments)),
+def lookup_keys(host: Column, path: Column, shapes: tuple[list[int], list[int]]) -> Column:
+    """All entries of these shapes that would cover the URL: host suffixes with path prefixes."""
+    labels, segments = F.split(host, r"\."), F.split(path, "/+")
+    counts = [F.array(*map(F.lit, some)).cast("array<int>") for some in shapes]
+    depth = F.when(path == "", 0).otherwise(F.size(segments))
+    hosts = F.transform(F.filter(counts[0], lambda k: k <= F.size(labels)),
+                        lambda k: F.array_join(F.slice(labels, F.size(labels) - k + 1, k), "."))
+    prefixes = F.transform(F.filter(counts[1], lambda n: n <= depth),
                            lambda n: F.array_join(F.concat(F.array(F.lit("")), F.slice(segments, 1, n)), "/"))
     return F.array_distinct(F.flatten(F.transform(hosts, lambda h: F.transform(prefixes, lambda p: F.concat(h, p)))))
 
@@ -81,9 +95,11 @@ def url_filter(captures: DataFrame, events: DataFrame, url_col: str = "url", dat
     asked = (captures.select(F.col(url_col).alias("q_url"), F.col(date_col).cast("date").alias("q_date"))
              .where(F.col("q_url").isNotNull() & F.col("q_date").isNotNull()).distinct()
              .withColumn("q_host", host_of(F.col("q_url"))).where(F.col("q_host").isNotNull()))
-    keyed = asked.select("q_url", "q_date",
-                         F.explode(lookup_keys(F.col("q_host"), path_of(F.col("q_url")))).alias("entry"))
-    spans = intervals(events)
+    spans = materialize(intervals(events), "url-intervals")
+    # dealt out evenly: what is left of a shuffle of few bytes would be one task
+    spread = asked.repartition(int(captures.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    keyed = materialize(spread.select("q_url", "q_date", F.explode(lookup_keys(
+        F.col("q_host"), path_of(F.col("q_url")), entry_shapes(spans))).alias("entry")), "url-keys")
     active = F.col("q_date") >= F.col("valid_from")
     active = active & (F.col("valid_to").isNull() | (F.col("q_date") < F.col("valid_to")))
     order = F.struct((F.col("category") == ALLOW).alias("a"), F.col("valid_from").alias("b"))

@@ -154,3 +154,20 @@ def test_url_filter_cases(spark):
     assert got.columns == ["url", "fetched_on", "want", "m", "host", "entry", "category", "valid_from", "decision"]
     assert url_filter.url_filter(captures, events.limit(0)).where("decision = 'block'").count() == 0
     assert url_filter.url_filter(captures.limit(0), events).count() == 0
+
+
+def test_long_paths_and_hosts_are_looked_up_fast(spark):
+    import time
+    deep = "https://a.b.example.org/" + "/".join(f"s{k}" for k in range(100_000))
+    urls = [deep, deep.replace("/s1/", "/x/"), "http://example.org" + "/" * 100_000 + "en/x", "http://[2001:DB8::1]:80/en",
+            "http://" + "w." * 20_000 + "example.org/s0/s1", "http://example.org"]
+    captures = spark.createDataFrame([(u, "2024-05-05") for u in urls], "url string, fetched_on string")
+    lists = [("example.org/s0/s1", "spam"), ("example.org/en", "adult"), ("[2001:db8::1]", "spam"), ("b.example.org/s0", "allow")]
+    events = spark.createDataFrame([(e, c, "add", "2024-01-01") for e, c in lists], "entry string, category string, action string, event_date string")
+    began = time.time()
+    got = {r["url"]: (r["host"][-15:], r["entry"], r["decision"]) for r in url_filter.url_filter(captures, events).collect()}
+    assert time.time() - began < 60
+    assert [got[u] for u in urls] == [
+        ("a.b.example.org", "example.org/s0/s1", "block"), ("a.b.example.org", "b.example.org/s0", "allow"),
+        ("example.org", "example.org/en", "block"), ("[2001:db8::1]", "[2001:db8::1]", "block"),
+        (("w." * 20_000 + "example.org")[-15:], "example.org/s0/s1", "block"), ("example.org", None, "allow")]
