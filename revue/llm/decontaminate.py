@@ -7,13 +7,14 @@ its words; from 0.8 on the document is contaminated. A window can only reach tha
 shingle of an item of its length, so windows without one are passed over unread.
 
 The others get a 64-bit SimHash of their words (weighted by letters), from running sums of
-the bits. Fingerprints within a radius of 12 are found by multi-index hashing: the 64
-bits are cut into 13 blocks, so two fingerprints that differ in 12 bits at most agree in one
-block, and the items of each block value are listed. What is found is checked exactly.
+the bits. Fingerprints within ``RADIUS`` bits of an item's are found by multi-index hashing: the 64
+bits are cut into RADIUS + 1 blocks, so two fingerprints that differ in RADIUS bits at most agree in one
+block, and the items of each block value are listed. An item found for a document in this way is then compared
+exactly with every window that shares enough weight with it, and its best window is returned.
 
-No radius bounds the similarity, so the fingerprints only find near windows early. Every other
-window whose shingles shared with an item weigh enough to reach 0.8, and what was found for
-that item, is checked exactly too, whatever its distance: the result does not depend on the radius.
+The radius decides what is found: of items cut off at an end or with words replaced, at a similarity from 0.8
+on, it loses a few in a thousand (README); exact ones differ in no bit. ``exhaustive=True`` compares every
+item that shares enough weight, at any distance.
 
 Documents are not shuffled. Items are taken to the tasks in blocks of at most
 ``block_words`` words, a stated bound; a longer benchmark is searched block by block.
@@ -30,7 +31,7 @@ from pyspark.sql import functions as F
 
 from revue.llm import textops as T
 
-WORDS, SIMILARITY, RADIUS, BLOCK_WORDS = 5, 0.8, 12, 1_000_000
+WORDS, SIMILARITY, RADIUS, BLOCK_WORDS = 5, 0.8, 18, 1_000_000
 _BITS = np.arange(64, dtype=T.U)
 _SEEN = 1 << 20
 
@@ -100,8 +101,8 @@ def shingle_weights(sizes: np.ndarray, at: np.ndarray, first: np.ndarray, begin:
 class ItemIndex:
     """A block of benchmark items, by shingle and by length."""
 
-    def __init__(self, texts: list[str], words: int, similarity: float, radius: int):
-        self.words, self.similarity = words, similarity
+    def __init__(self, texts: list[str], words: int, similarity: float, radius: int, exhaustive: bool = False):
+        self.words, self.similarity, self.exhaustive = words, similarity, exhaustive
         data, offsets = T.buffers(pa.array(texts, pa.large_string()))
         starts, ends, first = T.word_spans(data, offsets)
         hashes, sizes = T.word_hashes(data, starts, ends), ends - starts
@@ -174,13 +175,14 @@ class ItemIndex:
         np.add.at(reach, np.clip(hit, 0, last) + 1, -1)
         begins = np.flatnonzero(np.cumsum(reach[:-1]) > 0)
         items, index = self.by_length[n]
+        near: set[int] = set()
         for run in np.split(begins, np.flatnonzero(np.diff(begins) > n) + 1):
-            for part in np.array_split(run, -(-len(run) // 20_000)):
+            for part in np.array_split(run, -(-len(run) // 20_000)) if not self.exhaustive else ():
                 low, high = part[0], min(len(hashes), part[-1] + n)
                 prints = fingerprints(signed_bits(hashes[low:high], sizes[low:high]), part - low, n)
-                for w, i in zip(*index.search(prints), strict=True):
-                    self._check(t, int(items[i]), int(part[w]), max(1, n - k + 1), shingles, weights, best)
-        self._others(t, n, begins, hit, max(1, n - k + 1), shingles, weights, best)
+                near.update(np.unique(items[index.search(prints)[1]]).tolist())
+        if near or self.exhaustive:
+            self._compare(t, n, begins, hit, max(1, n - k + 1), shingles, weights, best, None if self.exhaustive else near)
 
     def _check(self, t, item, start, size, shingles, weights, best) -> None:
         own = slice(start, start + size)
@@ -188,8 +190,11 @@ class ItemIndex:
         if sim >= self.similarity - 1e-12:
             best[t, item] = max(best.get((t, item), (-1.0, 0)), (sim, -start))
 
-    def _others(self, t, n, begins, hit, size, shingles, weights, best) -> None:
-        """Check the windows whose shared shingles weigh enough; ``hit`` are the places of shingles of items of ``n`` words."""
+    def _compare(self, t, n, begins, hit, size, shingles, weights, best, near: set[int] | None) -> None:
+        """Best window of each item in ``near`` (all if None) among those whose shared shingles weigh enough.
+
+        ``hit`` are the places of shingles of items of ``n`` words.
+        """
         known, holder, least = self.holders[n]
         sums = np.concatenate([[0], np.cumsum(weights)])
         stops = np.minimum(begins + size, len(shingles))
@@ -218,6 +223,8 @@ class ItemIndex:
         order = order[np.argsort(item[order], kind="stable")]
         ones, first = np.unique(item[order], return_index=True)
         for i, own in zip(ones, np.split(place[order], first[1:]), strict=True):
+            if near is not None and int(i) not in near:
+                continue
             reach = 2 * np.minimum(shared(own), self.total[i]) / (whole + self.total[i])
             for w in np.argsort(-reach, kind="stable"):
                 if reach[w] < max(self.similarity, best.get((t, int(i)), (0.0, 0))[0]) - 1e-9:
@@ -225,23 +232,22 @@ class ItemIndex:
                 self._check(t, int(i), int(begins[w]), size, shingles, weights, best)
 
 
-def _match_batches(items: list[tuple[object, str]], words: int, similarity: float, radius: int, schema: pa.Schema):
-    ids = [i for i, _ in items]
+def _match_batches(texts: list[str], words: int, similarity: float, radius: int, exhaustive: bool):
     made: list[ItemIndex] = []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not made:
-            made.append(ItemIndex([t for _, t in items], words, similarity, radius))
+            made.append(ItemIndex(texts, words, similarity, radius, exhaustive))
         for batch in batches:
             for row, _, data, offsets in T.blocks(batch.column(1)):
                 found = made[0].search(data, offsets)
                 if found:
                     yield pa.RecordBatch.from_arrays(
                         [batch.column(0).take(pa.array([row + f[0] for f in found])),
-                         pa.array([ids[f[1]] for f in found], schema.field(1).type),
-                         pa.array([-f[2] for f in found], pa.int64()),
+                         pa.array([int(f[1]) for f in found], pa.int64()), pa.array([-f[2] for f in found], pa.int64()),
                          pa.array([int(made[0].length[f[1]]) for f in found], pa.int64()),
-                         pa.array([f[3] for f in found], pa.float64())], schema=schema)
+                         pa.array([f[3] for f in found], pa.float64())],
+                        ["id", "number", "first_word", "n_words", "similarity"])
     return run
 
 
@@ -264,10 +270,11 @@ def item_blocks(items: DataFrame, id_col: str, text_col: str, block_words: int)
 
 def contaminated(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                  item_id_col: str = "item_id", item_text_col: str = "text", words: int = WORDS,
-                 similarity: float = SIMILARITY, radius: int = RADIUS, block_words: int = BLOCK_WORDS) -> DataFrame:
+                 similarity: float = SIMILARITY, radius: int = RADIUS, block_words: int = BLOCK_WORDS,
+                 exhaustive: bool = False) -> DataFrame:
     """Return id, item_id, first_word, n_words, similarity: the best window of each (document, item) found.
 
-    The earliest window wins a tie. ``radius`` changes the time taken, never the result. An item of fewer than ``words`` words is one shingle of its own length. Null,
+    The earliest window wins a tie. Ids can be of any type. An item of fewer than ``words`` words is one shingle of its own length. Null,
     empty and word-free texts and items match nothing. Repeated rows of a document are listed each, repeated
     items too; a null id is returned as null. Without documents or items the result is empty. Other columns are
     not read.
@@ -275,26 +282,27 @@ def contaminated(df: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
     spark = df.sparkSession
     texts = df.select(F.col(id_col).alias("id"), F.lower(F.coalesce(F.col(text_col), F.lit(""))).alias("t"))
     kinds = [df.schema[id_col].dataType.simpleString(), items.schema[item_id_col].dataType.simpleString()]
-    ddl = f"id {kinds[0]}, item {kinds[1]}, first_word long, n_words long, similarity double"
-    arrow = pa.schema([("id", _arrow(kinds[0])), ("item", _arrow(kinds[1])), ("first_word", pa.int64()),
-                       ("n_words", pa.int64()), ("similarity", pa.float64())])
-    out = spark.createDataFrame([], ddl)
+    ddl = f"id {kinds[0]}, number long, first_word long, n_words long, similarity double"
+    out = spark.createDataFrame([], ddl.replace("number long", f"item {kinds[1]}"))
     for n, block in enumerate(item_blocks(items, item_id_col, item_text_col, block_words)):
-        found = texts.mapInArrow(_match_batches(block, words, similarity, radius, arrow), ddl)
+        found = texts.mapInArrow(_match_batches([t for _, t in block], words, similarity, radius, exhaustive), ddl)
+        names = spark.createDataFrame([(k, i) for k, (i, _) in enumerate(block)], f"number long, item {kinds[1]}")
+        # a name per item of the block: bounded by block_words
+        found = found.join(F.broadcast(names), "number").select("id", "item", "first_word", "n_words", "similarity")
         out = found if n == 0 else out.union(found)
     return out.select(F.col("id").alias(id_col), F.col("item").alias(item_id_col), "first_word", "n_words", "similarity")
 
 
 def clean(df: DataFrame, items: DataFrame, text_col: str = "text", item_id_col: str = "item_id",
           item_text_col: str = "text", words: int = WORDS, similarity: float = SIMILARITY, radius: int = RADIUS,
-          block_words: int = BLOCK_WORDS) -> DataFrame:
+          block_words: int = BLOCK_WORDS, exhaustive: bool = False) -> DataFrame:
     """The rows of ``df``, whole, that hold no item; nothing is shuffled. Cases as for ``contaminated``."""
     def without(block: list[tuple[object, str]]):
         made: list[ItemIndex] = []
 
         def decide(extra: list[pa.Array]) -> np.ndarray:
             if not made:
-                made.append(ItemIndex([t for _, t in block], words, similarity, radius))
+                made.append(ItemIndex([t for _, t in block], words, similarity, radius, exhaustive))
             keep = np.ones(len(extra[0]), bool)
             for row, _, data, offsets in T.blocks(extra[0]):
                 keep[[row + f[0] for f in made[0].search(data, offsets)]] = False
@@ -304,7 +312,3 @@ def clean(df: DataFrame, items: DataFrame, text_col: str = "text", item_id_col:
     for block in item_blocks(items, item_id_col, item_text_col, block_words):
         df = T.row_filter(df, {"text": F.lower(F.coalesce(F.col(text_col), F.lit("")))}, without(block))
     return df
-
-
-def _arrow(kind: str) -> pa.DataType:
-    return {"bigint": pa.int64(), "int": pa.int32(), "string": pa.string()}[kind]
