@@ -41,6 +41,13 @@ class Indexed:
                                .join(self.items.select(item_col, "item_index"), item_col))
 
 
+class LoadedIndex:
+    """The two lookup tables of an index that was stored, or a part of one."""
+
+    def __init__(self, users: DataFrame, items: DataFrame):
+        self.users, self.items = users, items
+
+
 def hash_bucket(user: str = "user_id", item: str = "product_id") -> F.Column:
     """0 to 99 by the md5 of the key pair, the same under any partitioning."""
     h = F.conv(F.substring(F.md5(F.concat(F.col(user), F.lit("#"), F.col(item))), 1, 8), 16, 10)
@@ -76,7 +83,7 @@ def predict(model, ratings: DataFrame) -> DataFrame:
     return model.transform(ratings).where(F.col("prediction").isNotNull() & ~F.isnan("prediction"))
 
 
-def recommend_users(model, idx: Indexed, n: int = 10, users: DataFrame | None = None,
+def recommend_users(model, idx: Indexed | LoadedIndex, n: int = 10, users: DataFrame | None = None,
                     seen: DataFrame | None = None, **limits) -> DataFrame:
     """(user_id, product_id, score, rank) for all users, or the ``users`` frame's user_id set.
 
@@ -99,7 +106,7 @@ def recommend_users(model, idx: Indexed, n: int = 10, users: DataFrame | None =
                 .select("user_id", "product_id", "score", "rank"))
 
 
-def recommend_new_users(model, idx: Indexed, ratings: DataFrame, n: int = 10, reg: float = DASHBOARD["regParam"],
+def recommend_new_users(model, idx: Indexed | LoadedIndex, ratings: DataFrame, n: int = 10, reg: float = DASHBOARD["regParam"],
                         nonnegative: bool = True, seen: DataFrame | None = None, **limits) -> DataFrame:
     """(user_id, product_id, score, rank) for users whom the model does not know, from their ``ratings``.
 
@@ -118,7 +125,7 @@ def recommend_new_users(model, idx: Indexed, ratings: DataFrame, n: int = 10, re
                 .select("user_id", "product_id", "score", "rank"))
 
 
-def recommend_items(model, idx: Indexed, n: int = 10, **limits) -> DataFrame:
+def recommend_items(model, idx: Indexed | LoadedIndex, n: int = 10, **limits) -> DataFrame:
     """(product_id, user_id, score, rank): best users for every item, exactly; equal scores by the user's index."""
     best = top_n(model.itemFactors, model.userFactors, n, **limits)
     return (best.withColumnsRenamed({"query": "item_index", "point": "user_index"})

@@ -104,6 +104,23 @@ def product_reviews(reviews: DataFrame, limit: int | None = None) -> DataFrame:
     return _latest(reviews, "product_id", DETAIL_COLS, limit)
 
 
+#: What the dashboard lists: the helpfulness as it was given, not the parsed number of votes.
+DASHBOARD_COLS = ["product_id", "title", "rating", "helpfulness", "review_summary", "review_time"]
+
+
+def dashboard_history(rows: DataFrame, limit: int | None = None) -> DataFrame:
+    """As ``user_history``, for the rows of the dashboard's file."""
+    return _latest(rows, "user_id", DASHBOARD_COLS, limit)
+
+
+def rating_cards(reviews: DataFrame, key: str) -> DataFrame:
+    """Per user or product the three texts of its card: number of reviews, average "4.2/5" to one place, last date."""
+    return _key_stats(reviews, key).select(
+        key, F.col("total_reviews").cast("string").alias("reviews"),
+        F.coalesce(F.concat(F.format_number("avg_rating", 1), F.lit("/5")), F.lit("N/A")).alias("average"),
+        F.col("last_review_date").alias("last_review"))
+
+
 def global_metrics(reviews: DataFrame) -> DataFrame:
     """Distinct users, distinct products, number of ratings (one row)."""
     return reviews.agg(

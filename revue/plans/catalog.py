@@ -804,8 +804,12 @@ def q_als_tuning(spark, sf):
     """The tuning script: 60/20/20 split, grid on validation, the best model stored, reloaded and measured on test."""
     from revue.conf import scratch_path
     _, idx, _, _, _ = _als_setup(spark, sf)
-    train, valid, test = (p.select("user_index", "item_index", "rating") for p in EV.three_way_split(idx.ratings))
-    return ALS.tune(train, valid, test, ALS.FULL_GRID, save_path=scratch_path(spark, "best-als"))
+    from revue.plans.stages import shared
+
+    def build():
+        train, valid, test = (p.select("user_index", "item_index", "rating") for p in EV.three_way_split(idx.ratings))
+        return ALS.tune(train, valid, test, ALS.FULL_GRID, save_path=scratch_path(spark, "best-als"))
+    return shared(spark, sf, FACT_TABLES, "als-tuning", (), build)
 
 
 @query("popular_fallback", O.with_clean(f""", pop as (
@@ -831,3 +835,6 @@ def q_similar_items_nested(spark, sf):
     "concat(title, ' (', product_id, ')') as label from clean) q where regexp_matches(label, '(?i)re[dg] .*\\(P1')"))
 def q_search_products_regex(spark, sf):
     return S.search_labels(clean(spark, sf), "product_id", "title", r"re[dg] .*\(P1", regex=True)
+
+
+from revue.plans import invariants  # noqa: E402, F401  registers the companions of queries whose values no SQL can give
