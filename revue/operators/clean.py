@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from revue.fixed import MEDIAN_QUANTILE, MIN_PRODUCT_REVIEWS, MIN_USER_REVIEWS
 from revue.functions.parse import parse_helpfulness, parse_price, parse_rating
+from revue.operators.quantile import exact_quantile
 
 KEEP = ["user_id", "product_id", "title", "user_name", "review_time", "review_summary", "review_text"]
 CLEAN_COLUMNS = KEEP + ["price", "rating", "helpful_votes"]
@@ -24,12 +25,13 @@ def parse_reviews(raw: DataFrame, fraction_scale: float = 1.0) -> DataFrame:
 
 
 def median_price(reviews: DataFrame) -> DataFrame:
-    """One row: approximate median of the non-null prices, 0.0 when there is none.
+    """One row: the median of the non-null prices (the lower middle one), 0.0 when there is none; exact."""
+    return reviews.sparkSession.createDataFrame([(_median(reviews),)], "median_price double")
 
-    ``percentile_approx`` is a mergeable sketch: partial per task, one tiny final merge.
-    """
-    return reviews.where(F.col("price").isNotNull()).agg(
-        F.coalesce(F.percentile_approx("price", MEDIAN_QUANTILE), F.lit(0.0)).alias("median_price"))
+
+def _median(reviews: DataFrame) -> float:
+    found = exact_quantile(reviews, "price", MEDIAN_QUANTILE)
+    return 0.0 if found is None else found
 
 
 def valid_ratings(df: DataFrame) -> DataFrame:
@@ -48,8 +50,8 @@ def clean_reviews(parsed: DataFrame, min_user_reviews: int = MIN_USER_REVIEWS,
     The null-dropped table feeds four readers (median, user counts, product
     counts, the filtered output); with ``materialize`` it is written once (Parquet,
     shared scratch folder, at ``base_path`` if the caller means to delete it after use)
-    instead of re-running the scan and joins behind it for each reader. The median enters as a scalar subquery (no driver round
-    trip). The activity filter is two left-semi joins against grouped key sets:
+    instead of re-running the scan and joins behind it for each reader. The median is selected from
+    it in two or three passes over the price column. The activity filter is two left-semi joins against grouped key sets:
     map-side partial counts, and AQE may broadcast the key sets or split skewed
     fact partitions.
     """
@@ -62,8 +64,7 @@ def clean_reviews(parsed: DataFrame, min_user_reviews: int = MIN_USER_REVIEWS,
         d.write.parquet(path)
         d = d.sparkSession.read.parquet(path)
     if fill_price:
-        med = median_price(d).scalar()
-        d = d.withColumn("price", F.coalesce(F.col("price"), med))
+        d = d.withColumn("price", F.coalesce(F.col("price"), F.lit(_median(d))))
     users = (d.groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
               .where(F.col("n") >= min_user_reviews).select("user_id"))
     products = (d.groupBy("product_id").agg(F.count(F.lit(1)).alias("n"))

@@ -124,7 +124,9 @@ def q_product_catalog(spark, sf):
     "select coalesce(quantile_disc(price, 0.5), 0.0) as median_price from parsed "
     "where rating is not null and user_id is not null and product_id is not null and price is not null"))
 def q_median_price_fill(spark, sf):
-    return C.median_price(parsed(spark, sf).dropna(subset=["user_id", "product_id", "rating"]))
+    from revue.conf import materialize
+    prices = parsed(spark, sf).dropna(subset=["user_id", "product_id", "rating"]).select("price")
+    return C.median_price(materialize(prices, "prices"))
 
 
 @query("parse_price", O.with_parsed("select distinct raw_price, price from parsed"))
