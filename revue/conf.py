@@ -33,14 +33,31 @@ def remove(spark: SparkSession, path: str) -> None:
     folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(folder, True)
 
 
+def reachable(spark: SparkSession) -> None:
+    """Let Python workers import this package from where the driver has it.
+
+    For hosts that share the path, as on one machine; elsewhere ship the package with ``--py-files``.
+    """
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = spark.sparkContext.environment
+    known = env.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([root, *filter(None, known)])
+
+
+def _own_folder(spark: SparkSession) -> str:
+    return f"{scratch_root(spark)}/revue/{spark.sparkContext.applicationId}"
+
+
 def remove_scratch(spark: SparkSession) -> None:
-    """Delete what this library has written below the scratch root (also other sessions' tables)."""
-    remove(spark, f"{scratch_root(spark)}/revue")
+    """Delete what this application has written below the scratch root; other sessions' tables stay."""
+    remove(spark, _own_folder(spark))
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path below the shared scratch root."""
-    return f"{scratch_root(spark)}/revue/{name}-{uuid.uuid4().hex[:12]}"
+    """A fresh path below the shared scratch root, in this application's folder."""
+    reachable(spark)
+    return f"{_own_folder(spark)}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def local_session(cpus: int | None = None, shuffle_partitions: int = 8,
@@ -63,6 +80,7 @@ def local_session(cpus: int | None = None, shuffle_partitions: int = 8,
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     scratch_root(spark)
+    reachable(spark)
     return spark
 
 

@@ -31,6 +31,17 @@ def index_keys(df: DataFrame, key: str, out: str) -> DataFrame:
     return idx.select(key, F.col(out).cast("int").alias(out), "frequency")
 
 
+def extend_index(index: DataFrame, df: DataFrame, key: str, out: str) -> DataFrame:
+    """A stored index with the keys of ``df`` that it lacks, numbered after its own in the same order.
+
+    Numbers once given stay, so factors of an earlier model and tables that hold its indices remain valid. ``frequency`` of
+    an old key is the one at its time.
+    """
+    new = index_keys(df.join(index.select(key), key, "left_anti"), key, out)
+    size = index.agg(F.coalesce(F.max(out) + 1, F.lit(0))).scalar()
+    return index.select(key, out, "frequency").union(new.select(key, (F.col(out) + size).cast("int"), "frequency"))
+
+
 class Indexed:
     """Reviews with integer user / item indices and the two lookup tables."""
 
@@ -163,13 +174,19 @@ def _scored(setting: dict, train: DataFrame, valid: DataFrame, seed: int) -> tup
 GRID_SCHEMA = "rank int, reg_param double, max_iter int, rmse double, n_valid long, error string"
 
 
-def grid_search(train: DataFrame, valid: DataFrame, grid: dict | None = None, seed: int = 42) -> DataFrame:
+def grid_search(train: DataFrame, valid: DataFrame, grid: dict | None = None, seed: int = 42, side_by_side: int = 4) -> DataFrame:
     """One row per setting (rank, reg_param, max_iter, rmse, n_valid, error), failing ones with their error.
 
-    Each fit is a distributed job; the loop runs over the (small) parameter grid. ``train`` and
+    Each fit is a distributed job. ``side_by_side`` of them run at once from driver threads, so that the stages of
+    one fill the tasks that another leaves idle; the result does not depend on it. ``train`` and
     ``valid`` are read once per setting: pass materialised tables.
     """
-    rows = [_scored(s, train, valid, seed) for s in grid_settings(grid or FULL_GRID)]
+    from concurrent.futures import ThreadPoolExecutor
+
+    from pyspark import inheritable_thread_target
+    spark = train.sparkSession
+    with ThreadPoolExecutor(side_by_side) as threads:
+        rows = list(threads.map(inheritable_thread_target(spark)(lambda s: _scored(s, train, valid, seed)), grid_settings(grid or FULL_GRID)))
     return train.sparkSession.createDataFrame(rows, GRID_SCHEMA)
 
 

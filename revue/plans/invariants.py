@@ -182,6 +182,23 @@ def als_stored_check(spark, sf):
     return _lists(rows, "user_id", {"differ": F.sum((~F.col("rank").eqNullSafe(F.col("again"))).cast("long"))})
 
 
+#: Reviews before this second make the first index of ``index_extended``.
+FIRST_INDEX_UNTIL = 705_000_000
+
+
+@Q.query("index_extended", O.with_clean(f"""
+, old as (select product_id, count(*) as n from clean where review_time < {FIRST_INDEX_UNTIL} group by 1),
+ new as (select product_id, count(*) as n from clean where product_id not in (select product_id from old) group by 1)
+ select product_id, cast(row_number() over (order by n desc, product_id) - 1 as int) as item_index, n as frequency from old union all
+ select product_id, cast((select count(*) from old) + row_number() over (order by n desc, product_id) - 1 as int), n from new"""))
+def index_extended(spark, sf):
+    """An index stored early, then extended by later reviews: old numbers stay, new ones follow."""
+    c = Q.clean(spark, sf).select("product_id", "review_time")
+    path = io.write_parquet(ALS.index_keys(c.where(F.col("review_time") < FIRST_INDEX_UNTIL), "product_id", "item_index"),
+                            scratch_path(spark, "first-index"))
+    return ALS.extend_index(spark.read.parquet(path), c, "product_id", "item_index")
+
+
 # ---------------------------------------------------------------- the dashboard's file and texts
 
 DASHBOARD = """, dash as (select user_id, user_name, product_id, title, cast(try_cast(raw_rating as float) as double) as rating, helpfulness,
