@@ -38,12 +38,13 @@ def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data[offsets[0]:offsets[-1]], offsets - offsets[0]
 
 
-def blocks(texts: pa.Array, limit: int = BLOCK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(first row, end row, bytes, offsets) of stretches of about ``limit`` bytes; a longer text is one alone."""
+def blocks(texts: pa.Array, limit: int = BLOCK_BYTES, rows: int | None = None) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(first row, end row, bytes, offsets) of stretches of about ``limit`` bytes, of at most ``rows`` texts; a longer text is one alone."""
     data, offsets = buffers(texts)
     row = 0
     while row < len(offsets) - 1:
         end = max(row + 1, int(np.searchsorted(offsets, offsets[row] + limit, "right")) - 1)
+        end = min(end, row + rows) if rows else end
         yield row, end, data[offsets[row]:offsets[end]], offsets[row:end + 1] - offsets[row]
         row = end
 

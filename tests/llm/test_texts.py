@@ -315,6 +315,21 @@ def test_unlearned_languages_of_latin_script_are_rejected(spark):
     assert held.where("rejected").count() < 0.01 * held.count()
 
 
+def test_many_short_texts_take_little_memory_and_many_languages_fail(spark, monkeypatch):
+    import resource
+    texts = pa.array([f"short text number {k}" for k in range(20_000)])
+    model = langid.LanguageModel(np.ones(langid.COLUMNS), ["en"], np.ones((1, langid.COLUMNS), np.float32), np.zeros((1, langid.OCTAVES)))
+    before, found = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss, []
+    for row, end, data, offsets in T.blocks(texts, rows=langid.ROWS):
+        found.append(langid._nearest(model, 0.9, np.ones(end - row, bool), data, offsets)[1])
+    assert sum(map(len, found)) == 20_000
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 150_000  # KB
+    monkeypatch.setattr(langid, "LANGUAGES", 3)
+    df = spark.createDataFrame([(k, "some text", f"l{k}") for k in range(9)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="languages"):
+        langid.fit(df)
+
+
 def test_language_messy(spark, messy, empty, small):
     model = langid.fit(small)
     got = {r.doc_id: r for r in langid.identify(messy, model).collect()}
