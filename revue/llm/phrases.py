@@ -31,7 +31,7 @@ from revue.llm import bloom
 from revue.llm import textops as T
 
 LEAST, CONTAINED_PERCENT, TOP = 10, 50, 2000
-BLOCK, WINDOW, GROUP, SLICE_BITS, SALTS = 12 << 20, 1 << 20, 1 << 21, 12, 32
+BLOCK, WINDOW, GROUP, SLICE_BITS, SALTS = 4 << 20, 1 << 19, 1 << 19, 12, 32
 _LOWER = np.array([b + 32 if 65 <= b <= 90 else b for b in range(256)], dtype=np.uint8)
 _CUTS = np.isin(np.arange(256), [*b".,;:!?", *range(0x0A, 0x0E)])
 _IN_WORD = ~_CUTS & ~np.isin(np.arange(256), [0x20, 0x09])
@@ -161,6 +161,7 @@ def _subtree(least: int):
             parts.append([np.frombuffer(raw, np.int64, m, 8 * m * k) for k in range(3)]
                          + [np.frombuffer(raw, np.uint32, m, 24 * m).astype(np.int64)])
         h1, h2, h3, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+        del parts
         order = np.lexsort((h3, h2, h1))
         h1, h2, h3, n = h1[order], h2[order], h3[order], n[order]
         new_two = np.append(True, (h1[1:] != h1[:-1]) | (h2[1:] != h2[:-1]))
