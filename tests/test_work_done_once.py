@@ -27,3 +27,30 @@ def test_customers_are_joined_to_orders(spark):
     joins = [line for line in plan.splitlines() if "Join Inner" in line]
     depth = {key: next(line.index("Join") for line in joins if key in line) for key in ("c_custkey", "l_orderkey", "p_partkey")}
     assert depth["c_custkey"] > depth["l_orderkey"] > depth["p_partkey"]
+
+
+def test_lsh_lists_are_those_of_the_bucket_join(spark, monkeypatch):
+    """Pairs that share a bucket, without MLlib's join of all pairs of a bucket."""
+    from pyspark.ml.feature import BucketedRandomProjectionLSH, BucketedRandomProjectionLSHModel
+    from revue.functions.scoring import similarity_from_sq_distance
+    from revue.operators import similarity as SIM
+    from revue.operators import topk
+    from revue.operators.features import TitleFeatures
+    words = ["red", "blue", "mat", "lamp"]
+    rows = [(f"P{i:03d}", f"{words[i % 4]} {words[i // 4 % 3]}", float(i * 37 % 50)) for i in range(48)]
+    cat = spark.createDataFrame(rows, "product_id string, title string, price double")
+    points = SIM.lsh_points(TitleFeatures(cat, materialize=True))
+    hashing = BucketedRandomProjectionLSH(inputCol="point", outputCol="buckets", bucketLength=0.25, numHashTables=1, seed=42).fit(points)
+    near = hashing.approxSimilarityJoin(points, points, 0.6, distCol="apart").select(
+        F.col("datasetA.pid").alias("product1"), F.col("datasetB.pid").alias("product2"),
+        similarity_from_sq_distance(F.col("apart") * F.col("apart")).alias("similarity"))
+    want = topk.per_key(near.where("product1 < product2 and similarity > 0.4"), ["product1"], [F.desc("similarity")], 3, ties="rank")
+
+    def refuse(*_, **__):
+        raise AssertionError("joins all pairs of a bucket")
+    monkeypatch.setattr(BucketedRandomProjectionLSHModel, "approxSimilarityJoin", refuse)
+    got = SIM.lsh_similar_items(cat, k=3, bucket_length=0.25, num_tables=1, max_distance=0.6)
+    lists = [sorted((r.product1, r.product2, round(r.similarity, 5), r["rank"]) for r in df.collect()) for df in (want, got)]
+    assert lists[0] == lists[1]
+    every = SIM.similar_items(cat, k=3, min_similarity=0.4).count()
+    assert 0 < len(lists[0]) != every  # the buckets do leave out some
