@@ -54,3 +54,22 @@ def test_lsh_lists_are_those_of_the_bucket_join(spark, monkeypatch):
     assert lists[0] == lists[1]
     every = SIM.similar_items(cat, k=3, min_similarity=0.4).count()
     assert 0 < len(lists[0]) != every  # the buckets do leave out some
+
+
+def test_factor_blocks_follow_cores_and_ratings(spark, monkeypatch):
+    """More shuffle partitions must not send every factor to more blocks; more ratings than a block holds do."""
+    from pyspark.ml import recommendation
+    from revue.operators import als as ALS
+    asked = []
+    monkeypatch.setattr(recommendation.ALS, "fit", lambda self, _: asked.append((self.getNumUserBlocks(), self.getNumItemBlocks())))
+    ratings = spark.range(100).selectExpr("int(id % 10) as user_index", "int(id % 7) as item_index", "3.0D as rating")
+    cores, before = spark.sparkContext.defaultParallelism, spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        ALS.fit(ratings)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    monkeypatch.setattr(ALS, "BLOCK_RATINGS", 3)
+    ALS.fit(ratings)
+    ALS.fit(ratings, blocks=5)
+    assert asked == [(cores, cores), (34, 34), (5, 5)]
