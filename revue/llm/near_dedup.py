@@ -263,6 +263,24 @@ def _across(tested: DataFrame, comps: DataFrame, similarity: float) -> DataFrame
     return pairs.select(F.least("nodex", "nodey").alias("a"), F.greatest("nodex", "nodey").alias("b")).distinct()
 
 
+def _merged(labelled: DataFrame, more: DataFrame) -> DataFrame:
+    """``labelled`` (node, comp, ...) with the components that the pairs ``more`` (a, b) of nodes link made one.
+
+    Only components that a pair names are joined again, not the links within them. The pairs are looked up by salt, and a
+    component that changes has its new label once a salt, as it may have many nodes.
+    """
+    names = materialize(labelled, "omh-labelled")
+    at = names.select("node", "comp")
+    ends = lookup(materialize(more, "omh-more"), "a", "b", at.withColumnRenamed("comp", "x"), "node")
+    ends = lookup(ends, "b", "a", at.withColumnRenamed("comp", "y"), "node")
+    joined = connected_components(ends.select(F.col("x").alias("a"), F.col("y").alias("b")).distinct())
+    changed = (joined.where("comp <> node").select(F.col("node").alias("comp"), F.col("comp").alias("_top"))
+               .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))))
+    salted = names.withColumn("_salt", F.pmod(F.xxhash64("node"), F.lit(SALTS)).cast("int"))
+    return (salted.join(changed, ["comp", "_salt"], "left").withColumn("comp", F.coalesce("_top", "comp"))
+            .drop("_top", "_salt"))
+
+
 def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS,
                similarity: float = SIMILARITY, sketches: int = SKETCHES, picks: int = PICKS) -> DataFrame:
     """Return id, class_id, kept: one row per input row.
@@ -302,11 +320,11 @@ def near_dedup(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", wo
         _star_batches(similarity),
         f"a {kind}, b {kind}, linked boolean, n long, common long, mark array<long>, new array<long>"), "omh-stars")
     links = tested.where("linked").select("a", "b")
-    across = _across(tested, connected_components(links), similarity)
+    comps = connected_components(links)
+    across = _across(tested, comps, similarity)
     more = with_sequences(across).mapInArrow(_pair_batches(similarity), f"a {kind}, b {kind}")
-    final = connected_components(links.union(more))
-    classes = nodes.select(*content, "node").join(final, "node", "left").select(
-        *content, F.coalesce("comp", "node").alias("class"))
+    classes = _merged(nodes.select(*content, "node").join(comps, "node", "left")
+                      .withColumn("comp", F.coalesce("comp", "node")), more).select(*content, F.col("comp").alias("class"))
     return (docs.select("id", *content).join(classes, content, "left")
             .withColumn("class_id", F.when(F.col("n") > 0, F.col("class")).otherwise(F.col("id")))
             .select(F.col("id").alias(id_col), "class_id",

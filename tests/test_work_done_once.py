@@ -73,3 +73,26 @@ def test_factor_blocks_follow_cores_and_ratings(spark, monkeypatch):
     ALS.fit(ratings)
     ALS.fit(ratings, blocks=5)
     assert asked == [(cores, cores), (34, 34), (5, 5)]
+
+
+def test_links_are_joined_to_components_once(spark, monkeypatch):
+    """The second round of components is of those that new pairs name, not of all links again."""
+    from revue.llm import near_dedup as N
+    given, find = [], N.connected_components
+
+    def spy(links):
+        given.append(links.count())
+        return find(links)
+    monkeypatch.setattr(N, "connected_components", spy)
+    words = [f"w{k}" for k in range(80)]
+    texts = [(k, " ".join([*words[:70 + k % 3], f"x{k}", *words[73:]])) for k in range(12)] + [(50, "alone in the table of texts")]
+    got = dict(N.near_dedup(spark.createDataFrame(texts, "doc_id long, text string")).select("doc_id", "class_id").collect())
+    assert got == {**{k: 0 for k in range(12)}, 50: 50}
+    assert given[0] > 0 and given[1] == 0
+
+
+def test_merged_components_take_the_smallest_label(spark):
+    from revue.llm.near_dedup import _merged
+    labelled = spark.createDataFrame([(1, 1), (2, 1), (3, 3), (4, 3), (5, 5), (6, 6)], "node long, comp long")
+    more = spark.createDataFrame([(2, 4), (4, 5)], "a long, b long")
+    assert dict(_merged(labelled, more).select("node", "comp").collect()) == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 6}
