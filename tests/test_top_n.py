@@ -128,3 +128,29 @@ def test_a_user_with_a_third_of_the_rows(spark, model):
     recs = ALS.recommend_users(m, idx, 10, seen=train.select("user_id", "product_id").union(hot), round_bytes=2000)
     left = idx.items.count() - train.select("product_id").distinct().count()
     assert recs.where(F.col("user_id") == user).count() == min(10, left)
+
+
+def test_rounds_write_only_what_reaches_the_lists(spark, monkeypatch):
+    """Equal norms end no search early: the lists of all queries were written in each of the twelve rounds."""
+    rng = np.random.default_rng(6)
+    vectors = np.abs(rng.normal(size=(1500, 4)))
+    vectors = (vectors / np.linalg.norm(vectors, axis=1)[:, None]).astype(np.float32)
+    queries, points = vectors[:300], vectors[300:]
+    written, write = [], IP.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        if name == "top-n-round":
+            written.append(out.select(F.sum(F.size("points"))).first()[0] or 0)
+        return out
+    monkeypatch.setattr(IP, "materialize", counted)
+    best = IP.top_n(frame(spark, queries), frame(spark, points), 5, round_bytes=2800)
+    assert got(best) == plain(queries, points, 5)
+    assert len(written) > 8 and sum(written) < 3 * 5 * 300
+
+
+def test_queries_of_few_bytes_are_dealt_out(spark):
+    rng = np.random.default_rng(7)
+    near, _ = IP._near(frame(spark, rng.normal(size=(400, 3)).astype(np.float32)))
+    files = [f for f in near.inputFiles() if f.endswith(".parquet")]
+    assert near.count() == 400 and len(files) > 4
