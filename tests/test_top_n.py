@@ -154,3 +154,8 @@ def test_queries_of_few_bytes_are_dealt_out(spark):
     near, _ = IP._near(frame(spark, rng.normal(size=(400, 3)).astype(np.float32)))
     files = [f for f in near.inputFiles() if f.endswith(".parquet")]
     assert near.count() == 400 and len(files) > 4
+
+
+def test_no_queries_and_several_rounds(spark, vectors):
+    none = spark.createDataFrame([], "id int, features array<float>")
+    assert IP.top_n(none, frame(spark, vectors[1]), 3, round_bytes=3000).count() == 0
