@@ -330,6 +330,36 @@ def test_many_short_texts_take_little_memory_and_many_languages_fail(spark, monk
         langid.fit(df)
 
 
+def test_language_model_comes_from_all_rows(spark):
+    """Centroids and thresholds against all 1,200 rows in numpy, however they are dealt out."""
+    rng = np.random.default_rng(3)
+    topics = [["".join(rng.choice(list("abcdefgh"), 5)) for _ in range(60)], ["".join(rng.choice(list("ijklmnop"), 5)) for _ in range(60)]]
+    rows = [(k, " ".join(rng.choice(topics[k % 3 == 0], 12)), "x" if k < 1200 else "y") for k in range(1300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.fit(df.repartition(3), clusters=2)
+    again = langid.fit(df.repartition(7), clusters=2)
+    assert model.languages == again.languages == ["x", "x", "y", "y"]
+    assert np.array_equal(model.centroids, again.centroids) and np.array_equal(model.low, again.low)
+    texts = [text for _, text, lang in rows if lang == "x"]
+    data, offsets = T.buffers(pa.array(texts))
+    counts = langid.gram_counts(data, offsets)
+    v = langid.vectors(counts, model.idf)
+    own = (v @ model.centroids[:2].T).argmax(axis=1)
+    assert sorted(np.bincount(own).tolist()) == [400, 800]
+    for j in range(2):
+        mean = v[own == j].mean(axis=0)
+        assert np.abs(model.centroids[j] - mean / np.linalg.norm(mean)).max() < 1e-6
+    length = langid.octave(counts.sum(axis=1))
+    assert len(set(length.tolist())) == 1  # whole texts of 71 bytes; cut to 64 bytes they are of the same length
+    cut = langid.gram_counts(*T.buffers(pa.array([text[:64] for text in texts])))
+    found = [(langid.vectors(c, model.idf) @ model.centroids[:2].T) for c in (counts, cut)]
+    for j in range(2):
+        cos = np.sort(np.concatenate([f.max(axis=1)[f.argmax(axis=1) == j] for f in found]))
+        all_ = np.sort(np.concatenate([f.max(axis=1) for f in found]))
+        want = min(cos[int(np.ceil(0.01 * len(cos))) - 1], all_[int(np.ceil(0.01 * len(all_))) - 1])
+        assert 0 <= want - model.low[j, length[0]] < 2 / langid.STEPS
+
+
 def test_language_messy(spark, messy, empty, small):
     model = langid.fit(small)
     got = {r.doc_id: r for r in langid.identify(messy, model).collect()}
