@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from revue.conf import materialize
+from revue.conf import materialize, remove, scratch_path
 from revue.llm import textops as T
 
 COLUMNS, GRAMS, CLUSTERS, SLACK = 4096, 3, 4, 0.95
@@ -360,7 +360,10 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
         raise ValueError(f"column {lang_col} has more than {LANGUAGES} languages")
     rows = df.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), _lower(text_col).alias("t")).where(
         "id is not null and lang is not null and t <> ''").select("lang", "t")
-    counted = materialize(rows.mapInArrow(_count_batches, "lang string, at binary, n binary"), "language-grams")
+    spark = df.sparkSession
+    path = scratch_path(spark, "language-grams")
+    rows.mapInArrow(_count_batches, "lang string, at binary, n binary").write.parquet(path)
+    counted = spark.read.parquet(path)
     grams = counted.select("at").mapInArrow(_frequency_batches, "bin long, n long").groupBy("bin").agg(F.sum("n").alias("n"))
     count = {r["bin"]: r["n"] for r in grams.collect()}
     seen = np.array([count.get(b, 0) for b in range(COLUMNS)])
@@ -368,6 +371,7 @@ def fit(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col:
     # Bounded: at most ``LANGUAGES`` names.
     languages = sorted(r["lang"] for r in counted.select("lang").distinct().collect())
     found = centroids(counted, idf, languages, clusters) if languages else {}
+    remove(spark, path)  # near the size of the texts, and no pass reads it any more
     model = [(languages[k], c) for k in sorted(found) for c in found[k]]
     out = LanguageModel(idf, [lang for lang, _ in model],
                         np.array([c for _, c in model], np.float32).reshape(len(model), COLUMNS),

@@ -3,6 +3,7 @@
 import random
 import re
 import zlib
+from pathlib import Path
 
 import numpy as np
 import public_tokenizers
@@ -338,6 +339,8 @@ def test_language_model_comes_from_all_rows(spark):
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     model = langid.fit(df.repartition(3), clusters=2)
     again = langid.fit(df.repartition(7), clusters=2)
+    left = Path(scratch_path(spark, "x")).parent
+    assert left.exists() and not list(left.glob("language-grams-*"))  # later stages need the disk
     assert model.languages == again.languages == ["x", "x", "y", "y"]
     assert np.array_equal(model.centroids, again.centroids) and np.array_equal(model.low, again.low)
     texts = [text for _, text, lang in rows if lang == "x"]
