@@ -96,3 +96,14 @@ def test_merged_components_take_the_smallest_label(spark):
     labelled = spark.createDataFrame([(1, 1), (2, 1), (3, 3), (4, 3), (5, 5), (6, 6)], "node long, comp long")
     more = spark.createDataFrame([(2, 4), (4, 5)], "a long, b long")
     assert dict(_merged(labelled, more).select("node", "comp").collect()) == {1: 1, 2: 1, 3: 1, 4: 1, 5: 1, 6: 6}
+
+
+def test_lsh_lists_are_checked_without_making_their_pairs(spark, monkeypatch):
+    from revue.operators import similarity as SIM
+    from revue.plans import invariants
+
+    def refuse(*_):
+        raise AssertionError("expands classes into product pairs")
+    monkeypatch.setattr(SIM, "expand", refuse)
+    got = invariants.lsh_check(spark, "/root/testdata/sf0.001").first()
+    assert got.products > 0 and got.wrong == 0 and got.recalled
