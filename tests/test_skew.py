@@ -46,3 +46,26 @@ def test_hot_keys_exact(spark):
     assert per_user.where(F.col("count") > 5).count() == 0
     seen = clean.select("user_id", "product_id")
     assert recs.join(seen, ["user_id", "product_id"]).count() == 0
+
+
+def test_candidates_of_heavy_users_are_those_of_any(spark, monkeypatch):
+    clean = skewed(spark)[0].select("user_id", "product_id", "rating")
+    sims = spark.createDataFrame([(f"P{i}", f"P{(i * 7 + j * 5) % 120}", 0.1 * j) for i in range(97) for j in range(1, 6)],
+                                 "product1 string, product2 string, similarity double")
+
+    def rows(frame):
+        return sorted(tuple(r) for r in frame.collect())
+    every, best = (rows(make(clean, sims)) for make in (R.content_candidates, R.content_recommendations))
+    monkeypatch.setattr(R, "HEAVY_USER", 20)
+    assert rows(R.content_candidates(clean, sims)) == every and rows(R.content_recommendations(clean, sims)) == best
+    monkeypatch.setattr(R, "HEAVY_USER", 0)
+    assert rows(R.content_recommendations(clean, sims)) == best
+    assert {u for u, *_ in best} > {"HOTU"}
+
+
+def test_candidates_are_not_shuffled(spark):
+    """Reviews go to their user's task with the lists; what is made of them there stays there up to the top ten."""
+    clean = skewed(spark)[0].select("user_id", "product_id", "rating")
+    sims = spark.createDataFrame([("HOTP", "P1", 0.5), ("P1", "P2", 0.5)], "product1 string, product2 string, similarity double")
+    plan = R.content_recommendations(clean, sims)._jdf.queryExecution().executedPlan().toString()
+    assert "Generate inline" in plan and "Exchange" not in plan[:plan.index("Generate inline")]
