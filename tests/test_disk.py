@@ -41,3 +41,19 @@ def test_a_fit_keeps_the_factors_of_few_iterations(spark):
     model = ALS.fit(ratings, rank=3, maxIter=9, regParam=0.1, blocks=3)
     assert model.userFactors.count() == 61
     assert left(spark, before, 9) <= 9  # each iteration has two, blocks of ratings and their counts a few more
+
+
+def test_pairs_of_copies_are_not_stored(spark, monkeypatch):
+    from revue.plans import catalog as Q
+    from revue.plans import stages
+    sf, written, write = "/root/testdata/sf0.01", {}, stages.materialize
+
+    def spy(df, name):
+        out = write(df, name)
+        written[name] = written.get(name, 0) + out.count()
+        return out
+    monkeypatch.setattr(stages, "materialize", spy)
+    monkeypatch.setattr(stages, "_MEMO", {})
+    pairs = Q.q_similar_items(spark, sf).count()
+    assert pairs > written["simitems"] > 0 and "simclasses" in written
+    assert max(written.values()) < pairs

@@ -107,3 +107,23 @@ def test_lsh_lists_are_checked_without_making_their_pairs(spark, monkeypatch):
     monkeypatch.setattr(SIM, "expand", refuse)
     got = invariants.lsh_check(spark, "/root/testdata/sf0.001").first()
     assert got.products > 0 and got.wrong == 0 and got.recalled
+
+
+def test_personal_lists_are_made_once(spark):
+    """The fallback must not run the search behind the personal lists a second time."""
+    from revue.operators import recommend as R
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def score(x):
+        made.add(1)
+        return x
+    personal = spark.createDataFrame([("u", "a", 4.5, 1), ("w", "b", 3.5, 1)], "user_id string, product_id string, s double, rank int")
+    personal = personal.select("user_id", "product_id", score("s").alias("score"), "rank", F.lit("folded in").alias("source"))
+    popular = spark.createDataFrame([("p1", 5.0, 1), ("p2", 4.0, 2)], "product_id string, avg_rating double, rank int")
+    users = spark.createDataFrame([("u",), ("new",), ("u",), ("w",)], "user_id string")
+    got = sorted(tuple(r) for r in R.with_fallback(users, personal, popular).collect())
+    assert got == [("new", "p1", 5.0, 1, "popular"), ("new", "p2", 4.0, 2, "popular"), ("u", "a", 4.5, 1, "folded in"),
+                   ("w", "b", 3.5, 1, "folded in")]
+    assert made.value == 2
+    assert R.with_fallback(users, personal, popular.limit(0)).count() == 2
