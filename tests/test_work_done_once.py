@@ -127,3 +127,22 @@ def test_personal_lists_are_made_once(spark):
                    ("w", "b", 3.5, 1, "folded in")]
     assert made.value == 2
     assert R.with_fallback(users, personal, popular.limit(0)).count() == 2
+
+
+def test_new_ratings_are_parsed_once_a_row(spark):
+    """Folding in reads the ratings once, though the search reads the factors twice."""
+    from revue.operators import als as ALS
+    from revue.plans import catalog as Q
+    _, idx, _, _, model = Q._als_setup(spark, "/root/testdata/sf0.001")
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("double")
+    def parse(text):
+        calls.add(1)
+        return None if text == "bad" else float(text)
+    items = [r.product_id for r in idx.items.orderBy("item_index").limit(6).collect()]
+    rows = [(user, item, text) for user, text in (("new", "4"), ("other", "2"), ("none", "bad")) for item in items]
+    ratings = spark.createDataFrame(rows, "user_id string, product_id string, text string")
+    got = ALS.recommend_new_users(model, idx, ratings.select("user_id", "product_id", parse("text").alias("rating")), 3)
+    assert sorted(r.user_id for r in got.collect()) == ["new"] * 3 + ["other"] * 3
+    assert calls.value == len(rows)
