@@ -75,6 +75,16 @@ def test_factor_blocks_follow_cores_and_ratings(spark, monkeypatch):
     assert asked == [(cores, cores), (34, 34), (5, 5)]
 
 
+def test_blocks_of_many_ratings_leave_memory_to_other_tasks(spark, monkeypatch):
+    """Four tasks of 15 million ratings each need most of a heap of 6 GB."""
+    from pyspark.ml import recommendation
+    from revue.operators import als as ALS
+    asked = []
+    monkeypatch.setattr(recommendation.ALS, "fit", lambda self, _: asked.append(self.getNumUserBlocks()))
+    ALS.fit(spark.range(216_000_000))
+    assert asked == [27]
+
+
 def test_links_are_joined_to_components_once(spark, monkeypatch):
     """The second round of components is of those that new pairs name, not of all links again."""
     from revue.llm import near_dedup as N
